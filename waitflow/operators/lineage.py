@@ -1,0 +1,36 @@
+"""Cutting lineage through the cluster's shared checkpoint folder."""
+
+from __future__ import annotations
+
+import atexit
+import shutil
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+SETTING = "spark.checkpoint.dir"
+
+
+def _folder_ready(spark: SparkSession) -> bool:
+    context = spark.sparkContext
+    if context.getCheckpointDir():
+        return True
+    shared = spark.conf.get(SETTING, None)
+    if shared:
+        context.setCheckpointDir(shared)
+        return True
+    if not context.master.startswith("local"):
+        return False
+    own = tempfile.mkdtemp(prefix="waitflow-checkpoint-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
+    return True
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The frame computed once and stored, for a result that several later steps read.
+
+    On a cluster without a shared folder the frame is returned as it is: its readers recompute it, which
+    is slower but right, while a folder on one machine would be lost with that machine.
+    """
+    return df.checkpoint() if _folder_ready(df.sparkSession) else df
