@@ -10,8 +10,17 @@ from pyspark.sql import functions as F
 
 
 def to_double(text: Column) -> Column:
-    """Number or NULL; blank and suppressed cells become NULL."""
-    return F.trim(text).try_cast("double")
+    """Number or NULL; blank and suppressed cells become NULL.
+
+    Cells without a digit are set aside first: a failing cast raises and catches an exception per cell.
+    """
+    clean = F.trim(text)
+    return F.when(clean.rlike("[0-9]"), clean).try_cast("double")
+
+
+def double_sql(cell: str) -> str:
+    """to_double as SQL text, for plans with dozens of such cells."""
+    return f"try_cast(CASE WHEN {cell} RLIKE '[0-9]' THEN trim({cell}) END AS DOUBLE)"
 
 
 def to_count(text: Column, kind: str = "int") -> Column:

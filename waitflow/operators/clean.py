@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitflow import schemas as S
-from waitflow.functions.numeric import to_count, to_double
+from waitflow.functions.numeric import double_sql, to_count, to_double
 from waitflow.functions.text import is_code, parse_period
 from waitflow.operators.keys import keep_first
 
@@ -43,9 +43,8 @@ def band_columns(columns: list[str]) -> list[Column]:
     bands = []
     for name, _, first, last, *_ in S.BANDS:
         # Cells of one band are added as doubles and cut to a whole number once.
-        cells = [F.coalesce(to_double(_named(c)), F.lit(0.0)) for c in weekly[first : last + 1] if c in columns]
-        total = sum(cells[1:], cells[0]) if cells else F.lit(0)
-        bands.append(total.cast("int").alias(name))
+        cells = [f"coalesce({double_sql(f'`{c}`')}, 0D)" for c in weekly[first : last + 1] if c in columns]
+        bands.append(F.expr(f"CAST({' + '.join(cells) or '0'} AS INT) AS {name}"))
     return bands
 
 

@@ -1,36 +1,41 @@
-"""Cutting lineage through the cluster's shared checkpoint folder."""
+"""Cutting lineage with a table in the cluster's shared checkpoint folder."""
 
 from __future__ import annotations
 
 import atexit
 import shutil
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_own_folder: str | None = None
 
 
-def _folder_ready(spark: SparkSession) -> bool:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return True
-    shared = spark.conf.get(SETTING, None)
-    if shared:
-        context.setCheckpointDir(shared)
-        return True
-    if not context.master.startswith("local"):
-        return False
-    own = tempfile.mkdtemp(prefix="waitflow-checkpoint-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    context.setCheckpointDir(own)
-    return True
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder the cluster names; a temporary one only where there is a single machine anyway."""
+    global _own_folder
+    named = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        return None
+    if _own_folder is None:
+        _own_folder = tempfile.mkdtemp(prefix="waitflow-")
+        atexit.register(shutil.rmtree, _own_folder, ignore_errors=True)
+    return _own_folder
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The frame computed once and stored, for a result that several later steps read.
+    """The frame computed once and written, for a result that several later steps read.
 
-    On a cluster without a shared folder the frame is returned as it is: its readers recompute it, which
-    is slower but right, while a folder on one machine would be lost with that machine.
+    The table outlives any executor. Without a shared folder the frame is returned as it is: its readers
+    recompute it, which is slower but right.
     """
-    return df.checkpoint() if _folder_ready(df.sparkSession) else df
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df
+    path = f"{folder}/waitflow-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

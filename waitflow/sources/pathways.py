@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitflow.sources.tables import table
+from waitflow.sources.tables import spread, table
 
 # Fixed values of the mapping: months added to the order month, wait period in days, open status.
 MONTH_SHIFT = 291
@@ -57,6 +57,7 @@ def pathways(spark: SparkSession, directory: str, specialty: bool = True) -> Dat
         (F.col("l_returnflag") == ADMITTED_FLAG).alias("is_admitted"),
         F.to_date("l_shipdate").alias("ship_day"),
     )
+    lines = spread(lines if specialty else lines.drop("l_partkey"), "l_orderkey")
     if specialty:
         part = table(spark, directory, "part").select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("treatment_function_code")

@@ -24,17 +24,16 @@ INCOMPLETE_HEADINGS = [*BASE_HEADINGS, *WEEK_HEADINGS, INCOMPLETE_TOTAL]
 
 def weekly_sums(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
     """The 53 weekly columns of waiting patients, in one aggregate."""
-    week = F.col("wait_week")
-    cells = [
-        F.sum(F.when(week == i, F.col("patients"))).alias(h) for i, h in enumerate(WEEK_HEADINGS)
-    ]
+    cells = [F.expr(f"sum(if(wait_week = {i}, patients, null)) AS `{h}`") for i, h in enumerate(WEEK_HEADINGS)]
     return rows.filter("is_open").groupBy(*grain).agg(*cells, F.sum("patients").alias(INCOMPLETE_TOTAL))
 
 
 def _cell(name: str) -> Column:
     """Blank for nothing, a mark for a single patient, the number otherwise."""
-    c = F.col(f"`{name}`")
-    return F.when(c == 1, SUPPRESSED).when(c.isNull(), "").otherwise(c.cast("string")).alias(name)
+    return F.expr(
+        f"CASE WHEN `{name}` = 1 THEN '{SUPPRESSED}' WHEN `{name}` IS NULL THEN '' "
+        f"ELSE CAST(`{name}` AS STRING) END AS `{name}`"
+    )
 
 
 def _base(df: DataFrame) -> list[Column]:
@@ -92,14 +91,8 @@ NO_PERIOD_BELOW, NO_HEADER_BELOW = 3, 5
 
 def sheet_texts(weekly: DataFrame) -> DataFrame:
     """One text per provider and month, with preamble. A text holds one line per specialty, no more."""
-    cells = [_cell(h) for h in WEEK_HEADINGS]
-    line = F.array_join(
-        F.transform(
-            F.array(*_base(weekly), *cells, F.col(f"`{INCOMPLETE_TOTAL}`").cast("string")),
-            lambda c: F.concat(F.lit('"'), c, F.lit('"')),
-        ),
-        ",",
-    )
+    cells = [*_base(weekly), *[_cell(h) for h in WEEK_HEADINGS], F.col(f"`{INCOMPLETE_TOTAL}`").cast("string")]
+    line = F.concat(F.lit('"'), F.concat_ws('","', *cells), F.lit('"'))
     grouped = weekly.groupBy("period_date", "provider_org_code").agg(
         F.array_sort(F.collect_list(line)).alias("lines"), F.sum(f"`{INCOMPLETE_TOTAL}`").alias("total")
     )

@@ -8,18 +8,30 @@ from pyspark.sql import functions as F
 from waitflow import schemas as S
 from waitflow.functions.text import parse_period
 
-MAX_COLUMNS = 72  # five base columns, 53 weeks, the measures and some room
-_CELLS = ", ".join(f"c{i} string" for i in range(MAX_COLUMNS))
+# One CSV field, quoted or plain, up to the next comma or the end of the line.
+_FIELD = '("(?:[^"]|"")*"|[^,]*)(?:,|$)'
 
 
-def _cells(line: Column) -> Column:
-    """Fields of one CSV line as an array; quotes are honoured."""
-    parsed = F.from_csv(line, F.lit(_CELLS))
-    return F.array(*[parsed[f"c{i}"] for i in range(MAX_COLUMNS)])
+def cells_of(line: Column) -> Column:
+    """Fields of one CSV line, quotes still on."""
+    return F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1))
 
 
-def _lines(content: Column) -> Column:
-    return F.split(F.regexp_replace(content, "\r", ""), "\n")
+def unquoted(cell: Column) -> Column:
+    inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+    return F.when(cell.startswith('"'), inner).otherwise(cell)
+
+
+def _with_lines(sheets: DataFrame) -> DataFrame:
+    return sheets.withColumn("lines", F.split(F.regexp_replace("content", "\r", ""), "\n"))
+
+
+def _line(number: int) -> Column:
+    return F.coalesce(F.get("lines", F.lit(number)), F.lit(""))
+
+
+def _period() -> Column:
+    return parse_period(unquoted(F.get(cells_of(_line(S.PERIOD_ROW)), F.lit(S.PERIOD_COLUMN))))
 
 
 def sheet_rows(sheets: DataFrame, headings: list[str]) -> DataFrame:
@@ -27,39 +39,36 @@ def sheet_rows(sheets: DataFrame, headings: list[str]) -> DataFrame:
     plus period_date, source_file and row_idx.
 
     Each file's own header says where a heading is, so column order may differ between files. The places
-    are looked up once per file, before its lines are exploded.
+    are looked up once per file, before its lines are exploded; each data line is split once.
     """
-    lines = sheets.withColumn("lines", _lines(F.col("content")))
-    header = F.transform(_cells(F.get("lines", F.lit(S.HEADER_ROW))), F.trim)
-    period = parse_period(F.get(_cells(F.get("lines", F.lit(S.PERIOD_ROW))), F.lit(S.PERIOD_COLUMN)))
-    placed = (
-        lines.withColumn("header", F.array_compact(header))
-        .filter(F.size("header") > 0)
-        .select(
-            F.coalesce(F.date_format(period, "yyyy-MM-dd"), F.lit("Unknown")).alias("period_date"),
-            F.col("file_name").alias("source_file"),
-            F.array(*[F.array_position("header", h).cast("int") - 1 for h in headings]).alias("places"),
-            F.posexplode("lines").alias("row_idx", "line"),
-        )
-        .filter((F.col("row_idx") > S.HEADER_ROW) & (F.trim("line") != ""))
-        .withColumn("cells", _cells(F.col("line")))
+    header = F.transform(cells_of(_line(S.HEADER_ROW)), lambda c: F.trim(unquoted(c)))
+    headed = _with_lines(sheets).select(
+        F.coalesce(F.date_format(_period(), "yyyy-MM-dd"), F.lit("Unknown")).alias("period_date"),
+        F.col("file_name").alias("source_file"),
+        header.alias("header"),
+        "lines",
     )
-    place = F.col("places")
-    return placed.select(
-        *[F.get("cells", place[i]).alias(h) for i, h in enumerate(headings)], "period_date", "source_file", "row_idx"
+    wanted = F.array(*[F.lit(h) for h in headings])
+    # A header in the usual order needs no lookup.
+    places = F.when(
+        F.slice("header", F.lit(1), F.lit(len(headings))) == wanted, F.sequence(F.lit(0), F.lit(len(headings) - 1))
+    ).otherwise(F.transform(wanted, lambda h: F.array_position(F.col("header"), h).cast("int") - 1))
+    placed = headed.withColumn("places", places).select(
+        "period_date", "source_file", "places", F.posexplode("lines").alias("row_idx", "line")
     )
+    data = placed.filter((F.col("row_idx") > S.HEADER_ROW) & F.col("line").rlike("[^, ]"))
+    split_up = data.withColumn("cells", F.transform(cells_of(F.col("line")), unquoted))
+    named = [F.expr(f"get(cells, places[{i}]) AS `{h}`") for i, h in enumerate(headings)]
+    return split_up.select(*named, "period_date", "source_file", "row_idx")
 
 
 def file_status(sheets: DataFrame) -> DataFrame:
     """One row per file: readable, or the reason for setting it aside."""
-    lines = sheets.withColumn("lines", _lines(F.col("content")))
-    period = F.get(_cells(F.get("lines", F.lit(S.PERIOD_ROW))), F.lit(S.PERIOD_COLUMN))
-    header = F.coalesce(F.get("lines", F.lit(S.HEADER_ROW)), F.lit(""))
-    body = F.size(F.filter(F.slice("lines", S.HEADER_ROW + 2, 2**31 - 1), lambda x: F.trim(x) != ""))
+    body = F.filter("lines", lambda x, i: (i > S.HEADER_ROW) & x.rlike("[^, ]"))
     reason = (
-        F.when(~header.contains("Provider Code"), "no header")
-        .when(parse_period(period).isNull(), "no period")
-        .when(body < 1, "no rows")
+        F.when(~_line(S.HEADER_ROW).contains("Provider Code"), "no header")
+        .when(_period().isNull(), "no period")
+        .when(F.size(body) < 1, "no rows")
         .otherwise("ok")
     )
-    return lines.select("file_name", reason.alias("status"))
+    return _with_lines(sheets).select("file_name", reason.alias("status"))
