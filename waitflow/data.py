@@ -51,17 +51,17 @@ class Data:
     def new_periods(self) -> DataFrame:
         return self.coded(facts.new_periods(self.rows()))
 
-    def activity(self) -> DataFrame:
-        return facts.activity(self.rows())
+    def activity(self, waits: bool = False) -> DataFrame:
+        return facts.activity(self.rows(), waits=waits)
 
-    def summary(self) -> DataFrame:
-        return marts.monthly_summary(self.activity())
+    def summary(self, waits: bool = False) -> DataFrame:
+        return marts.monthly_summary(self.activity(waits))
 
-    def labelled_summary(self) -> DataFrame:
-        return self.label(self.summary())
+    def labelled_summary(self, waits: bool = False) -> DataFrame:
+        return self.label(self.summary(waits))
 
-    def specialty_summary(self) -> DataFrame:
-        return P.with_specialty(self.summary())
+    def specialty_summary(self, waits: bool = False) -> DataFrame:
+        return P.with_specialty(self.summary(waits))
 
     def national(self) -> DataFrame:
         return marts.national_monthly(self.summary())

@@ -1,59 +1,98 @@
-"""Fact frames at month x provider x specialty grain, built from pathway rows or from loaded facts."""
+"""Fact frames at month x provider x specialty grain, built from pathway rows or from loaded facts.
+
+Rows are combined to one cell per key and wait week first (map-side, so a hot key costs one row per task and
+week). Medians and 92nd percentiles are then read off the running counts of at most 53 weeks per key, which
+needs neither per-key objects nor a sort of the rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waitflow import schemas as S
 from waitflow.functions.numeric import steady
 
 GRAIN = ["period_date", "provider_id", "treatment_function_code"]
-QUANTILES = (0.5, 0.92)
+QUANTILES = {"median": 0.5, "p92": 0.92}
 
 
-def _patients(condition: Column, empty: int | None = 0) -> Column:
-    return F.sum(F.when(condition, F.col("patients")).otherwise(F.lit(empty)))
+def _patients(condition: str) -> Column:
+    return F.expr(f"coalesce(sum(CASE WHEN {condition} THEN patients END), 0L)")
 
 
-def band_sums(condition: Column | None = None) -> list[Column]:
-    week = F.col("wait_week")
+def band_sums(condition: str = "true") -> list[Column]:
+    """Twelve sums over the wait week, of pathway rows or of week cells."""
+    return [
+        _patients(f"{condition} AND wait_week BETWEEN {first} AND {last}").alias(c) for c, _, first, last, *_ in S.BANDS
+    ]
 
-    def inside(first: int, last: int) -> Column:
-        band = week.between(first, last)
-        return band if condition is None else condition & band
 
-    return [_patients(inside(first, last)).alias(c) for c, _, first, last, *_ in S.BANDS]
+def week_cells(rows: DataFrame, grain: list[str]) -> DataFrame:
+    """Patients and row counts per key and wait week."""
+    return rows.groupBy(*grain, "wait_week").agg(F.sum("patients").alias("patients"), F.count(F.lit(1)).alias("n"))
 
 
-def _quantiles(condition: Column) -> Column:
-    """Median and 92nd percentile in one pass; the state holds at most 53 distinct weeks per group."""
-    return F.percentile(F.when(condition, F.col("wait_week")), F.array(*[F.lit(q) for q in QUANTILES]))
+def _running(cells: DataFrame, grain: list[str], classes: dict[str, str]) -> DataFrame:
+    """Running and total row counts per key for each class of rows."""
+    upto = Window.partitionBy(*grain).orderBy("wait_week")
+    whole = Window.partitionBy(*grain)
+    counts = {c: F.expr(f"CASE WHEN {condition} THEN n ELSE 0L END") for c, condition in classes.items()}
+    return cells.withColumns(
+        {f"{c}_upto": F.sum(n).over(upto) for c, n in counts.items()}
+        | {f"{c}_total": F.sum(n).over(whole) for c, n in counts.items()}
+    )
 
 
-def _waits(c: str) -> list[Column]:
-    return [
-        F.get(c, F.lit(0)).alias("median_wait_weeks"),
-        steady(F.get(c, F.lit(1))).alias("percentile_92_wait_weeks"),
-    ]
+def _bounds(classes: dict[str, str]) -> list[Column]:
+    """Weeks below and above each quantile position, and the totals, per key."""
+    found = []
+    for c in classes:
+        found.append(F.max(f"{c}_total").alias(f"{c}_total"))
+        for name, q in QUANTILES.items():
+            for side, f in (("low", "floor"), ("high", "ceil")):
+                place = f"{f}({q}D * ({c}_total - 1))"
+                found.append(
+                    F.expr(f"min(CASE WHEN {c}_total > 0 AND {c}_upto > {place} THEN wait_week END)").alias(
+                        f"{c}_{name}_{side}"
+                    )
+                )
+    return found
+
+
+def _quantile(c: str, name: str) -> Column:
+    """Linear interpolation between the two bounding weeks; NULL for an empty class."""
+    place = F.expr(f"{QUANTILES[name]}D * ({c}_total - 1)")
+    low, high = F.col(f"{c}_{name}_low"), F.col(f"{c}_{name}_high")
+    return steady(low + (high - low) * (place - F.floor(place)))
 
 
 def incomplete(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
     """Patients still waiting: 12 bands, the total, median and 92nd percentile."""
-    always = F.lit(True)
-    found = rows.filter("is_open").groupBy(*grain).agg(
-        *band_sums(), F.sum("patients").alias("total_waiting"), _quantiles(always).alias("waits")
+    classes = {"all": "true"}
+    cells = _running(week_cells(rows.filter("is_open"), grain), grain, classes)
+    found = cells.groupBy(*grain).agg(*band_sums(), F.sum("patients").alias("total_waiting"), *_bounds(classes))
+    return found.select(
+        *grain,
+        *S.BAND_COLUMNS,
+        "total_waiting",
+        _quantile("all", "median").alias("median_wait_weeks"),
+        _quantile("all", "p92").alias("percentile_92_wait_weeks"),
     )
-    return found.select(*grain, *S.BAND_COLUMNS, "total_waiting", *_waits("waits"))
 
 
 def completed(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
     """Treated patients per pathway: total, median and 92nd percentile."""
-    pathway = F.when(F.col("is_admitted"), S.ADMITTED).otherwise(S.NON_ADMITTED).alias("pathway_type")
-    found = rows.filter("is_done").groupBy(*grain, pathway).agg(
-        F.sum("patients").alias("total_completed"), _quantiles(F.lit(True)).alias("waits")
+    pathway = F.when(F.col("is_admitted"), S.ADMITTED).otherwise(S.NON_ADMITTED)
+    key, classes = [*grain, "pathway_type"], {"all": "true"}
+    cells = _running(week_cells(rows.filter("is_done").withColumn("pathway_type", pathway), key), key, classes)
+    found = cells.groupBy(*key).agg(F.sum("patients").alias("total_completed"), *_bounds(classes))
+    return found.select(
+        *key,
+        "total_completed",
+        _quantile("all", "median").alias("median_wait_weeks"),
+        _quantile("all", "p92").alias("percentile_92_wait_weeks"),
     )
-    return found.select(*grain, "pathway_type", "total_completed", *_waits("waits"))
 
 
 def new_periods(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
@@ -61,37 +100,43 @@ def new_periods(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
     return rows.groupBy(*grain).agg(F.count(F.lit(1)).alias("new_rtt_periods"))
 
 
-def activity(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
-    """All three facts side by side from one scan and one shuffle.
+_CLASSES = {"waiting": "is_open", "admitted": "is_done AND is_admitted", "other": "is_done AND NOT is_admitted"}
+_STATE = ["is_open", "is_done", "is_admitted"]
+
+
+def _activity_sums(n: str) -> list[Column]:
+    return [
+        F.expr(f"coalesce(sum(CASE WHEN is_open THEN {n} END), 0L) AS n_incomplete"),
+        _patients("is_open").alias("total_waiting"),
+        _patients(f"is_open AND wait_week >= {S.BREACH_WEEK}").alias("waiting_over_18wks"),
+        _patients(f"is_open AND wait_week >= {S.LONG_WEEK}").alias("waiting_over_52wks"),
+        F.expr(f"coalesce(sum(CASE WHEN is_done THEN {n} END), 0L) AS n_completed"),
+        _patients("is_done AND is_admitted").alias("completed_admitted"),
+        _patients("is_done AND NOT is_admitted").alias("completed_non_admitted"),
+        _patients("is_done").alias("total_completed"),
+        F.expr(f"sum({n}) AS n_new"),
+        F.expr(f"sum({n}) AS new_rtt_periods"),
+    ]
 
-    Nothing is joined, so nothing can fan out. Catalyst drops the aggregates a query does not use.
+
+def activity(rows: DataFrame, grain: list[str] = GRAIN, waits: bool = False) -> DataFrame:
+    """All three facts side by side from one scan; nothing is joined, so nothing can fan out.
+
+    Without waits one shuffle does it, and Catalyst drops the sums a query does not use. With waits the week
+    cells come first, and the medians and percentiles of each class of rows are added.
     """
-    is_open, done, admitted = F.col("is_open"), F.col("is_done"), F.col("is_admitted")
-    week = F.col("wait_week")
-    found = rows.groupBy(*grain).agg(
-        F.count(F.when(is_open, True)).alias("n_incomplete"),
-        _patients(is_open).alias("total_waiting"),
-        _patients(is_open & (week >= S.BREACH_WEEK)).alias("waiting_over_18wks"),
-        _patients(is_open & (week >= S.LONG_WEEK)).alias("waiting_over_52wks"),
-        F.count(F.when(done, True)).alias("n_completed"),
-        _patients(done & admitted).alias("completed_admitted"),
-        _patients(done & ~admitted).alias("completed_non_admitted"),
-        _patients(done).alias("total_completed"),
-        F.count(F.lit(1)).alias("n_new"),
-        F.count(F.lit(1)).alias("new_rtt_periods"),
-        _quantiles(is_open).alias("open_waits"),
-        _quantiles(done & admitted).alias("admitted_waits"),
-        _quantiles(done & ~admitted).alias("other_waits"),
-    )
-    waits = {}
-    for i, name in enumerate(("median", "p92")):
-        parts = [F.get("admitted_waits", F.lit(i)), F.get("other_waits", F.lit(i))]
-        waits[f"waiting_{name}"] = steady(F.get("open_waits", F.lit(i)))
-        waits[f"completed_{name}_sum"] = steady(
-            F.coalesce(parts[0], F.lit(0.0)) + F.coalesce(parts[1], F.lit(0.0))
-        )
-        waits[f"completed_{name}_n"] = sum(p.isNotNull().cast("int") for p in parts)
-    return found.withColumns(waits).drop("open_waits", "admitted_waits", "other_waits")
+    if not waits:
+        return rows.groupBy(*grain).agg(*_activity_sums("1L"))
+    cells = _running(week_cells(rows, [*grain, *_STATE]), grain, _CLASSES)
+    found = cells.groupBy(*grain).agg(*_activity_sums("n"), *_bounds(_CLASSES))
+    added = {}
+    for name in QUANTILES:
+        parts = [_quantile(c, name) for c in ("admitted", "other")]
+        added[f"waiting_{name}"] = _quantile("waiting", name)
+        added[f"completed_{name}_sum"] = steady(sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0)))
+        added[f"completed_{name}_n"] = sum((p.isNotNull().cast("int") for p in parts), F.lit(0))
+    plain = [c for c in found.columns if not c.startswith(tuple(f"{c}_" for c in _CLASSES)) or c in ACTIVITY_COUNTS]
+    return found.select(*plain, *[c.alias(n) for n, c in added.items()])
 
 
 ACTIVITY_COUNTS = [

@@ -231,7 +231,7 @@ def dim_region_upsert(d: Data) -> DataFrame:
 @query
 def dim_wait_band(d: Data) -> DataFrame:
     """The bands with the patients found in each."""
-    sums = d.rows(specialty=False).agg(*facts.band_sums(F.col("is_open")))
+    sums = d.rows(specialty=False).agg(*facts.band_sums("is_open"))
     found = facts.banded(sums, [])
     return dims.dim_wait_band(d.spark).join(found, "band_label", "left")
 
@@ -351,7 +351,7 @@ SUMMARY_COLUMNS = [
 
 @query
 def mart_monthly_summary(d: Data) -> DataFrame:
-    return d.labelled_summary().select(*SUMMARY_COLUMNS)
+    return d.labelled_summary(waits=True).select(*SUMMARY_COLUMNS)
 
 
 @query
@@ -366,7 +366,7 @@ def mart_monthly_dense(d: Data) -> DataFrame:
     """One financial year of the grid, zero-filled."""
     start, end = "2019-04-01", "2020-03-01"
     inside = d.rows().filter(marts.in_months(start, end))
-    return d.coded(marts.dense_monthly(facts.activity(inside), d.provider_ids(), start, end)).drop("provider_id")
+    return d.coded(marts.dense_monthly(facts.activity(inside, waits=True), d.provider_ids(), start, end)).drop("provider_id")
 
 
 @query
@@ -399,7 +399,7 @@ def q3_long_waiters(d: Data) -> DataFrame:
 
 @query
 def q4_specialty_pressure(d: Data) -> DataFrame:
-    return kpis.specialty_pressure(d.specialty_summary())
+    return kpis.specialty_pressure(d.specialty_summary(waits=True))
 
 
 @query
@@ -414,12 +414,12 @@ def q5_regional(d: Data) -> DataFrame:
 
 @query
 def q6_trust_scorecard(d: Data) -> DataFrame:
-    return kpis.trust_scorecard(d.labelled_summary())
+    return kpis.trust_scorecard(d.labelled_summary(waits=True))
 
 
 @query
 def q6_trust_alltime(d: Data) -> DataFrame:
-    return kpis.trust_alltime(d.labelled_summary())
+    return kpis.trust_alltime(d.labelled_summary(waits=True))
 
 
 @query
@@ -503,7 +503,7 @@ def breach_analysis(d: Data) -> DataFrame:
 
 @query
 def band_breach_totals(d: Data) -> DataFrame:
-    sums = d.rows(specialty=False).agg(*facts.band_sums(F.col("is_open")))
+    sums = d.rows(specialty=False).agg(*facts.band_sums("is_open"))
     bands = F.broadcast(d.dim_wait_band().select("band_label", "is_breach"))
     return patterns.band_breach_totals(facts.banded(sums, []).join(bands, "band_label"))
 
@@ -680,12 +680,12 @@ def m_admitted_share(d: Data) -> DataFrame:
 
 @query
 def m_avg_median_wait(d: Data) -> DataFrame:
-    return measures.avg_median_wait(d.labelled_summary(), REGION)
+    return measures.avg_median_wait(d.labelled_summary(waits=True), REGION)
 
 
 @query
 def m_avg_p92(d: Data) -> DataFrame:
-    return measures.avg_p92_wait(d.labelled_summary(), REGION)
+    return measures.avg_p92_wait(d.labelled_summary(waits=True), REGION)
 
 
 @query
@@ -766,7 +766,7 @@ def dq_duplicate_codes(d: Data) -> DataFrame:
 
 @query
 def dq_not_null(d: Data) -> DataFrame:
-    return quality.not_null(d.labelled_summary(), SUMMARY_COLUMNS)
+    return quality.not_null(d.labelled_summary(waits=True), SUMMARY_COLUMNS)
 
 
 @query
