@@ -16,7 +16,7 @@ _own_folder: str | None = None
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder the cluster names; a temporary one only where there is a single machine anyway."""
     global _own_folder
-    named = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING, None)
+    named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):

@@ -25,7 +25,8 @@ def missing_keys(tables: dict[str, DataFrame]) -> DataFrame:
     keys = ["date_key", "trust_key", "region_key", "treatment_function_key", "wait_band_key"]
     checks = []
     for name, df in tables.items():
-        found = [_count(F.col(k).isNull()).alias(f"missing_{k}") for k in keys if k in df.columns]
+        absent = F.lit(None).cast("long")
+        found = [(_count(F.col(k).isNull()) if k in df.columns else absent).alias(f"missing_{k}") for k in keys]
         checks.append(df.agg(F.count(F.lit(1)).alias("total_rows"), *found).withColumn("table_name", F.lit(name)))
     columns = ["table_name", "total_rows", *[f"missing_{k}" for k in keys]]
     return stack(checks).select(*columns)
