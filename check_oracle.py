@@ -19,6 +19,15 @@ from waitflow.oracle import ORACLES
 from waitflow.queries import QUERIES
 from waitflow.session import local
 
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
 
 def _plain(v: object) -> object:
     if isinstance(v, decimal.Decimal):
@@ -51,6 +60,10 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, directory: str,
     got = _sorted(df.columns, [tuple(r) for r in df.collect()])
     found = con.execute(ORACLES[name])
     want = _sorted([c[0] for c in found.description], found.fetchall())
+    spark_types = {c: TYPES.get(t, t) for c, t in df.dtypes}
+    duck_types = {r[0]: r[1] for r in con.execute("DESCRIBE " + ORACLES[name]).fetchall()}
+    if spark_types != duck_types:
+        return f"types {sorted(set(spark_types.items()) ^ set(duck_types.items()))}"
     if got[0] != want[0]:
         return f"columns {sorted(set(got[0]) ^ set(want[0]))}"
     if len(got[1]) != len(want[1]):
@@ -60,8 +73,6 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, directory: str,
             bad = [(c, x, y) for c, x, y in zip(got[0], a, b) if x != y]
             n = sum(1 for x, y in zip(got[1], want[1]) if x != y)
             return f"{n} of {len(want[1])} rows differ, first {bad[:4]}"
-        if [type(x) for x in a] != [type(y) for y in b]:
-            return f"types {[(c, type(x), type(y)) for c, x, y in zip(got[0], a, b) if type(x) is not type(y)]}"
     return ""
 
 

@@ -93,8 +93,10 @@ def test_union_pathways_drops_unreadable_dates(spark):
 
 def test_dense_grid_size_and_fill(spark):
     d = Data(spark, SMALL)
-    dense = marts.dense_monthly(d.activity(waits=True), d.provider_ids(), "2019-01-01", "2020-12-01")
-    specialties = d.rows().select("treatment_function_code").distinct().count()
+    dense = marts.dense_monthly(
+        d.activity(waits=True), d.provider_ids(), d.specialties(), "2019-01-01", "2020-12-01"
+    )
+    specialties = d.specialties().count()
     assert dense.count() == 24 * d.provider_ids().count() * specialties
     assert dense.filter("total_waiting IS NULL").isEmpty()
     inside = d.activity().filter(marts.in_months("2019-01-01", "2020-12-01"))
@@ -106,7 +108,9 @@ def test_rank_desc_equals_window_rank(spark):
 
     df = spark.range(400).select(
         (F.col("id") % 3).alias("g"), F.expr("cast(id % 37 as double) * 2.5").alias("v"), "id"
-    ).unionByName(spark.createDataFrame([(0, 100.0, 1000), (0, 0.0, 1001)], "g long, v double, id long"))
+    ).unionByName(
+        spark.createDataFrame([(0, 100.0, 1000), (0, 0.0, 1001), (0, None, 1002)], "g long, v double, id long")
+    )
     want = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v"))))
     got = rank_desc(df, ["g"], "v", "r").select(*want.columns)
     assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()

@@ -21,12 +21,15 @@ def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 
-def with_surrogate_key(df: DataFrame, code: str, key: str, start: int = 0) -> DataFrame:
+def with_surrogate_key(df: DataFrame, code: str, key: str, bounded: bool = False) -> DataFrame:
     """Numbers distinct codes 1..n in code order without sorting them all in one task.
 
     Rows are numbered inside each code prefix; the prefix offset comes from the prefix counts, the only
-    rows that meet in one task.
+    rows that meet in one task. `bounded` is for code lists that do not grow with the data (regions,
+    specialties): they are numbered directly.
     """
+    if bounded:
+        return df.withColumn(key, F.row_number().over(Window.orderBy(code)))
     prefixed = df.withColumn("_prefix", F.substring(code, 1, PREFIX))
     before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -35,14 +38,17 @@ def with_surrogate_key(df: DataFrame, code: str, key: str, start: int = 0) -> Da
         .select("_prefix", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     inside = F.row_number().over(Window.partitionBy("_prefix").orderBy(code))
+    # Every prefix has its offset; a left join leaves both sides of it the same, so Spark computes it once.
     return (
-        prefixed.join(offsets, "_prefix")
-        .withColumn(key, (inside + F.col("_offset") + start).cast("int"))
+        prefixed.join(offsets, "_prefix", "left")
+        .withColumn(key, (inside + F.col("_offset")).cast("int"))
         .drop("_prefix", "_offset")
     )
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, code: str, key: str, updated: list[str]) -> DataFrame:
+def upsert(
+    existing: DataFrame, incoming: DataFrame, code: str, key: str, updated: list[str], bounded: bool = False
+) -> DataFrame:
     """Known codes keep their key and take the incoming values; new codes get the next keys.
 
     Columns outside `updated` keep their existing value and take the incoming one only for new codes.
@@ -60,7 +66,7 @@ def upsert(existing: DataFrame, incoming: DataFrame, code: str, key: str, update
         else:
             values.append(F.coalesce(f"_old_{c}", f"_new_{c}").alias(c))
     known = merged.filter("_known").select(key, code, *values)
-    added = with_surrogate_key(merged.filter("_known IS NULL").select(code, *values), code, "_row")
+    added = with_surrogate_key(merged.filter("_known IS NULL").select(code, *values), code, "_row", bounded)
     top = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).scalar()
     return known.unionByName(added.select((top + F.col("_row")).cast("int").alias(key), code, *others))
 

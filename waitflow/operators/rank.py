@@ -11,23 +11,23 @@ STEPS = 1000  # value steps per group
 
 
 def rank_desc(df: DataFrame, group: list[str], value: str, name: str, top: float = 100.0) -> DataFrame:
-    """Adds RANK() OVER (PARTITION BY group ORDER BY value DESC) for values between 0 and `top`.
+    """Adds RANK() OVER (PARTITION BY group ORDER BY value DESC) for values between 0 and `top`, NULLs last.
 
     A row's rank is one more than the number of rows with a larger value. Rows are counted per distinct
     value (combined before the shuffle), and those counts are added up per step of the value range and then
     inside each step, so that a group holding a third of all rows is never sorted in one task.
     """
-    stored = cut(df)
-    step = F.floor(F.col(value) * (STEPS / top)).cast("int")
-    per_value = stored.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n")).withColumn("_step", step)
+    stored = cut(df).withColumn("_value", F.coalesce(F.col(value).cast("double"), F.lit(-1.0)))
+    step = F.floor(F.col("_value") * (STEPS / top)).cast("int")
+    per_value = stored.groupBy(*group, "_value").agg(F.count(F.lit(1)).alias("_n")).withColumn("_step", step)
 
     def above(frame: DataFrame, partition: list[str], order: str) -> DataFrame:
         w = Window.partitionBy(*partition).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
         return frame.withColumn("_above", F.coalesce(F.sum("_n").over(w), F.lit(0)))
 
     steps = above(per_value.groupBy(*group, "_step").agg(F.sum("_n").alias("_n")), group, "_step")
-    inside = above(per_value, [*group, "_step"], value)
+    inside = above(per_value, [*group, "_step"], "_value")
     ranks = inside.join(
         steps.select(*group, "_step", F.col("_above").alias("_steps_above")), [*group, "_step"]
-    ).select(*group, value, (F.col("_above") + F.col("_steps_above") + 1).cast("int").alias(name))
-    return stored.join(ranks, [*group, value])
+    ).select(*group, "_value", (F.col("_above") + F.col("_steps_above") + 1).cast("int").alias(name))
+    return stored.join(ranks, [*group, "_value"]).drop("_value")

@@ -521,8 +521,7 @@ _SQL: dict[str, str] = {
             SELECT full_date AS period_date, provider_org_code, treatment_function_code
             FROM (SELECT full_date FROM calendar WHERE full_date BETWEEN DATE '2019-04-01' AND DATE '2020-03-01')
                  CROSS JOIN (SELECT provider_org_code FROM providers)
-                 CROSS JOIN (SELECT DISTINCT treatment_function_code FROM raw_lines
-                             WHERE period_date BETWEEN DATE '2019-04-01' AND DATE '2020-03-01'))
+                 CROSS JOIN (SELECT treatment_function_code FROM specialties))
         SELECT {_KEY}, COALESCE(i.total_waiting, 0) AS total_waiting,
                COALESCE({_BREACH}, 0) AS waiting_over_18wks, COALESCE(band_52_plus, 0) AS waiting_over_52wks,
                COALESCE(completed_admitted, 0) AS completed_admitted,

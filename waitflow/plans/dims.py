@@ -81,7 +81,7 @@ def region_dimension(regions: DataFrame) -> DataFrame:
     distinct = regions.dropna(subset=["region_code"]).groupBy("region_code").agg(
         F.min("region_name").alias("region_name")
     )
-    return with_surrogate_key(distinct, "region_code", "region_key").select(
+    return with_surrogate_key(distinct, "region_code", "region_key", bounded=True).select(
         "region_key", "region_code", "region_name"
     )
 
@@ -116,6 +116,6 @@ def dim_treatment_function(specialties: DataFrame) -> DataFrame:
             F.min("specialty_group").alias("specialty_group"),
         )
     )
-    return with_surrogate_key(distinct, "treatment_function_code", "treatment_function_key").select(
+    return with_surrogate_key(distinct, "treatment_function_code", "treatment_function_key", bounded=True).select(
         "treatment_function_key", "treatment_function_code", "treatment_function_name", "specialty_group"
     )

@@ -64,12 +64,14 @@ def spine(keys: DataFrame, months: Column, specialties: Column) -> DataFrame:
     )
 
 
-def dense_monthly(activity: DataFrame, providers: DataFrame, start: str, end: str) -> DataFrame:
+def dense_monthly(
+    activity: DataFrame, providers: DataFrame, specialties: DataFrame, start: str, end: str
+) -> DataFrame:
     """Zero-filled grid of month x provider x specialty.
 
-    The specialty list is a scalar: it has as many entries as there are specialties.
+    The specialty list is a scalar taken from the dimension: it has as many entries as there are specialties.
     """
-    codes = activity.agg(F.array_sort(F.collect_set("treatment_function_code")).alias("codes")).scalar()
+    codes = specialties.agg(F.array_sort(F.collect_set("treatment_function_code")).alias("codes")).scalar()
     months = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 month"))
     grid = spine(providers, months, codes)
     key = ["period_date", "provider_id", "treatment_function_code"]

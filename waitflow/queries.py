@@ -225,7 +225,7 @@ def dim_region(d: Data) -> DataFrame:
 def dim_region_upsert(d: Data) -> DataFrame:
     """The seed regions with the regions of the data upserted."""
     incoming = d.regions().withColumn("nhs_region_abbrev", F.upper(F.substring("region_name", 1, 3)))
-    return keys.upsert(dims.dim_region(d.spark), incoming, "region_code", "region_key", ["region_name"])
+    return keys.upsert(dims.dim_region(d.spark), incoming, "region_code", "region_key", ["region_name"], bounded=True)
 
 
 @query
@@ -250,6 +250,7 @@ def dim_treatment_function_upsert(d: Data) -> DataFrame:
         "treatment_function_code",
         "treatment_function_key",
         ["treatment_function_name"],
+        bounded=True,
     )
 
 
@@ -366,7 +367,9 @@ def mart_monthly_dense(d: Data) -> DataFrame:
     """One financial year of the grid, zero-filled."""
     start, end = "2019-04-01", "2020-03-01"
     inside = d.rows().filter(marts.in_months(start, end))
-    return d.coded(marts.dense_monthly(facts.activity(inside, waits=True), d.provider_ids(), start, end)).drop("provider_id")
+    activity = facts.activity(inside, waits=True)
+    dense = marts.dense_monthly(activity, d.provider_ids(), d.specialties(), start, end)
+    return d.coded(dense).drop("provider_id")
 
 
 @query

@@ -92,16 +92,16 @@ NO_PERIOD_BELOW, NO_HEADER_BELOW = 3, 5
 def sheet_texts(weekly: DataFrame) -> DataFrame:
     """One text per provider and month, with preamble. A text holds one line per specialty, no more."""
     cells = [*_base(weekly), *[_cell(h) for h in WEEK_HEADINGS], F.col(f"`{INCOMPLETE_TOTAL}`").cast("string")]
-    line = F.concat(F.lit('"'), F.concat_ws('","', *cells), F.lit('"'))
+    line = F.concat_ws(",", *cells)
     grouped = weekly.groupBy("period_date", "provider_org_code").agg(
         F.array_sort(F.collect_list(line)).alias("lines"), F.sum(f"`{INCOMPLETE_TOTAL}`").alias("total")
     )
     total, month = F.col("total"), F.col("period_date")
     period = F.when(total < NO_PERIOD_BELOW, "Unknown").otherwise(F.date_format(month, "MMMM yyyy"))
-    quoted = ",".join(f'"{h}"' for h in INCOMPLETE_HEADINGS)
+    headings = ",".join(f'"{h}"' for h in INCOMPLETE_HEADINGS)
     header = F.when(
         (total >= NO_PERIOD_BELOW) & (total < NO_HEADER_BELOW), F.array().cast("array<string>")
-    ).otherwise(F.array(F.lit(quoted)))
+    ).otherwise(F.array(F.lit(headings)))
     preamble = [F.lit("Statistics")] + [F.lit(",,")] * (S.PERIOD_ROW - 1)
     preamble += [F.concat(F.lit(",Period:,"), period)] + [F.lit(",,")] * (S.HEADER_ROW - S.PERIOD_ROW - 1)
     return grouped.select(

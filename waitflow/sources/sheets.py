@@ -9,12 +9,7 @@ from waitflow import schemas as S
 from waitflow.functions.text import parse_period
 
 # One CSV field, quoted or plain, up to the next comma or the end of the line.
-_FIELD = '("(?:[^"]|"")*"|[^,]*)(?:,|$)'
-
-
-def cells_of(line: Column) -> Column:
-    """Fields of one CSV line, quotes still on."""
-    return F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1))
+_FIELD = '("[^"]*+(?:""[^"]*+)*+"|[^,]*+)(?:,|$)'
 
 
 def unquoted(cell: Column) -> Column:
@@ -22,6 +17,12 @@ def unquoted(cell: Column) -> Column:
     return F.when(cell.startswith('"'), inner).otherwise(cell)
 
 
+def cells_of(line: Column) -> Column:
+    """Fields of one CSV line. Lines without a quote, nearly all of them, are simply split."""
+    quoted = F.transform(F.regexp_extract_all(line, F.lit(_FIELD), F.lit(1)), unquoted)
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
+
+
 def _with_lines(sheets: DataFrame) -> DataFrame:
     return sheets.withColumn("lines", F.split(F.regexp_replace("content", "\r", ""), "\n"))
 
@@ -31,7 +32,7 @@ def _line(number: int) -> Column:
 
 
 def _period() -> Column:
-    return parse_period(unquoted(F.get(cells_of(_line(S.PERIOD_ROW)), F.lit(S.PERIOD_COLUMN))))
+    return parse_period(F.get(cells_of(_line(S.PERIOD_ROW)), F.lit(S.PERIOD_COLUMN)))
 
 
 def sheet_rows(sheets: DataFrame, headings: list[str]) -> DataFrame:
@@ -41,7 +42,7 @@ def sheet_rows(sheets: DataFrame, headings: list[str]) -> DataFrame:
     Each file's own header says where a heading is, so column order may differ between files. The places
     are looked up once per file, before its lines are exploded; each data line is split once.
     """
-    header = F.transform(cells_of(_line(S.HEADER_ROW)), lambda c: F.trim(unquoted(c)))
+    header = F.transform(cells_of(_line(S.HEADER_ROW)), F.trim)
     headed = _with_lines(sheets).select(
         F.coalesce(F.date_format(_period(), "yyyy-MM-dd"), F.lit("Unknown")).alias("period_date"),
         F.col("file_name").alias("source_file"),
@@ -57,7 +58,7 @@ def sheet_rows(sheets: DataFrame, headings: list[str]) -> DataFrame:
         "period_date", "source_file", "places", F.posexplode("lines").alias("row_idx", "line")
     )
     data = placed.filter((F.col("row_idx") > S.HEADER_ROW) & F.col("line").rlike("[^, ]"))
-    split_up = data.withColumn("cells", F.transform(cells_of(F.col("line")), unquoted))
+    split_up = data.withColumn("cells", cells_of(F.col("line")))
     named = [F.expr(f"get(cells, places[{i}]) AS `{h}`") for i, h in enumerate(headings)]
     return split_up.select(*named, "period_date", "source_file", "row_idx")
 

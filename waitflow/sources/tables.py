@@ -79,10 +79,14 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
     write_table(df, path, partition_by, mode="append")
 
 
-def stage(df: DataFrame, path: str, batch_id: str) -> None:
-    """Truncate-and-reload of a staging table, every row tagged with its batch and load time."""
-    tagged = df.withColumns({"load_batch_id": F.lit(batch_id), "load_timestamp": F.current_timestamp()})
-    write_table(tagged, path)
+def stage(df: DataFrame, path: str, batch_id: str, data_source: str = "monthly sheets") -> None:
+    """Truncate-and-reload of a staging table, every row tagged with its batch, source and load time."""
+    tags = {
+        "load_batch_id": F.lit(batch_id),
+        "data_source": F.lit(data_source),
+        "load_timestamp": F.current_timestamp(),
+    }
+    write_table(df.withColumns(tags), path)
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:
