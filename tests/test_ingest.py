@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from waitflow import schemas as S
 from waitflow.operators import clean
-from waitflow.sources import files, links, sheets, tables
+from waitflow.sources import files, links, raw_sheets, sheets, tables
 
 BASE = dict(zip(["Region Code", "Provider Code", "Provider Name", "Treatment Function Code", "Treatment Function"], ["Y56", "RJ1", "Alpha", "100", "Surgery"]))
 
@@ -77,6 +78,16 @@ def test_sheets_from_files(spark, tmp_path):
     assert (got["2019-05-01"]["band_52_plus"], got["2019-05-01"]["region_code"]) == (6, "Y56")
 
 
+@pytest.mark.parametrize("quote", ["", '"'])
+def test_every_heading_of_a_full_header_is_found(spark, quote):
+    names = raw_sheets.INCOMPLETE_HEADINGS
+    header = ",".join(f"{quote}{n}{quote}" for n in reversed(names))
+    line = ",".join(f"{quote}{len(names) - 1 - i}{quote}" for i in range(len(names)))
+    texts = spark.createDataFrame([("f.csv", preamble("April 2019", header, line))], "file_name string, content string")
+    row = sheets.sheet_rows(texts, names).first()
+    assert [row[n] for n in names] == [str(i) for i in range(len(names))]
+
+
 def test_processed_csv_round_trip(spark, tmp_path):
     schema = S.NEW_PERIODS_CSV
     df = spark.createDataFrame([("Y56", "RJ1", "A, B", "100", "x", 3, "2019-04-01", "f.csv")], schema)

@@ -42,7 +42,7 @@ def sheet_rows(sheets: DataFrame, headings: list[str]) -> DataFrame:
     Each file's own header says where a heading is, so column order may differ between files. The places
     are looked up once per file, before its lines are exploded; each data line is split once.
     """
-    header = F.transform(cells_of(_line(S.HEADER_ROW)), F.trim)
+    header = F.transform(cells_of(_line(S.HEADER_ROW)), lambda c: F.trim(c))
     headed = _with_lines(sheets).select(
         F.coalesce(F.date_format(_period(), "yyyy-MM-dd"), F.lit("Unknown")).alias("period_date"),
         F.col("file_name").alias("source_file"),
