@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,7 +90,3 @@ def top_specialties(df: DataFrame, measure: str, rows: int) -> DataFrame:
     """Largest specialties by a summed measure; the name settles ties."""
     grouped = df.groupBy("treatment_function_name").agg(F.sum(measure).alias(measure))
     return grouped.orderBy(F.desc(measure), "treatment_function_name").limit(rows)
-
-
-def stack(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
