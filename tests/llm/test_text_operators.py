@@ -257,12 +257,18 @@ def leaks_of(spark, texts, items):
 
 def test_decontamination_finds_other_values(spark):
     same = f"Some words before. {ITEM}. And some words after it."
-    moved = same.replace("12", "47").replace("Maria", "Olga").replace("3 dollars", "8 euros")
-    broken = ITEM.replace("12 apples", "13 apples")  # 12 stood twice, the other one stays
+    moved = same.replace("12", "47").replace("Maria", "Olga").replace("3 dollars", "8 dollars").replace("dollars", "euros")
+    edited_once = ITEM.replace("12 apples", "13 apples")  # 12 stood twice, the other one stays
     clean = "This text has nothing to do with apples or markets but is long enough to hold several windows of words."
-    got = leaks_of(spark, [same, moved, broken, clean], [ITEM])
-    assert got.keys() >= {(0, 0), (1, 0)} and (3, 0) not in got
-    assert (2, 0) not in got
+    got = leaks_of(spark, [same, moved, edited_once, clean], [ITEM])
+    assert got.keys() == {(0, 0), (1, 0), (2, 0)}
+    assert got[(0, 0)] == got[(1, 0)] == 1.0 and got[(2, 0)] < 1.0
+
+
+def test_decontamination_checks_slots(spark):
+    item = "pay 5 then 5 and 5 or 5 plus 5 for 5 now"
+    same_value, other_values = item.replace("5", "9"), "pay 1 then 2 and 3 or 4 plus 6 for 7 now"
+    assert leaks_of(spark, [same_value, other_values], [item]).keys() == {(0, 0)}
 
 
 def test_decontamination_finds_verbatim_items(spark, table, plain):
@@ -287,14 +293,18 @@ def brute_leaks(texts, items, cover=0.5):
                     continue
                 for q in range(len(dc) - width + 1):
                     if (ic[p : p + width] == dc[q : q + width]).all():
-                        seen, pairs = lines.setdefault(q - p, (set(), set()))
-                        seen.update(range(p, p + width))
-                        pairs.update((iv[p + k], dv[q + k]) for k in range(width) if slot[p + k])
+                        pairs = {(iv[p + k], dv[q + k]) for k in range(width) if slot[p + k]}
+                        lines.setdefault(q - p, []).append((p, pairs))
             words_in = set()
-            for seen, pairs in lines.values():
-                if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
-                    words_in |= seen
-            if len(ic) and len(words_in) / len(ic) >= cover:
+            for line in lines.values():
+                stands_for = {}
+                for _, pairs in line:
+                    for a, b in pairs:
+                        stands_for.setdefault(a, set()).add(b)
+                for p, pairs in line:
+                    if all(len(stands_for[a]) == 1 for a, _ in pairs):
+                        words_in.update(range(p, p + width))
+            if words_in and len(words_in) / len(ic) >= cover:
                 found[(d, i)] = len(words_in) / len(ic)
     return found
 

@@ -2,8 +2,9 @@
 
 Numbers, names and units become typed placeholders, so that a question asked again with other values keeps its
 template. Windows of template words are hash-joined with those of the benchmark, matches on one diagonal
-(document position minus item position) are put together, and the values behind the placeholders must map one to
-one: a value that stands twice in the item must stand twice in the document.
+(document position minus item position) are put together, and the values behind the placeholders are compared: a
+value that stands twice in the item must stand for the same value both times in the document, or else the windows
+that hold it do not count.
 """
 
 from __future__ import annotations
@@ -181,7 +182,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
         "item_id",
         "n_words",
         (F.col("at") - F.col("position")).alias("diagonal"),
-        F.expr("sequence(position, position + width - 1)").alias("words"),
+        "position",
+        "width",
         # Values behind placeholders, item and document side by side.
         F.expr(
             "filter(zip_with(slots, arrays_zip(item_values, doc_values), (s, v) -> IF(s, v, NULL)), v -> v IS NOT NULL)"
@@ -189,14 +191,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     )
     # An item and a diagonal bound every collected list by the words of the item.
     lines = matched.groupBy("doc_id", "item_id", "n_words", "diagonal").agg(
-        F.array_distinct(F.flatten(F.collect_set("words"))).alias("words"),
+        F.collect_set(F.struct("position", "width", "pairs")).alias("found"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
-    one_to_one = "size(array_distinct(pairs.item_values)) = size(pairs) AND size(array_distinct(pairs.doc_values)) = size(pairs)"
-    good = lines.filter(one_to_one)
+    torn = "filter(pairs.item_values, v -> size(filter(pairs.item_values, w -> w = v)) > 1)"
+    kept = "filter(found, f -> NOT arrays_overlap(f.pairs.item_values, torn))"
+    words = "flatten(transform(kept, f -> sequence(f.position, f.position + f.width - 1)))"
+    good = lines.withColumn("torn", F.expr(torn)).withColumn("kept", F.expr(kept)).withColumn("words", F.expr(words))
     covered = good.groupBy("doc_id", "item_id", "n_words").agg(F.size(F.array_distinct(F.flatten(F.collect_set("words")))).alias("n"))
     share = F.col("n") / F.col("n_words")
-    return covered.filter(share >= cover).select("doc_id", "item_id", share.alias("share"))
+    return covered.filter((F.col("n") > 0) & (share >= cover)).select("doc_id", "item_id", share.alias("share"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
