@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
@@ -82,3 +83,23 @@ def test_insert_ignore_keeps_existing_rows(spark):
 def test_orphans_count_rows_per_key(spark):
     facts = spark.createDataFrame([(1,), (9,), (9,)], "fk int")
     assert [tuple(r) for r in keys.orphans(facts, spark.createDataFrame([(1,)], "id int"), "fk", "id").collect()] == [(9, 2)]
+
+
+def test_upserts_keep_keys_unique(spark):
+    existing = spark.createDataFrame([(1, "a", "old")], "key int, code string, name string")
+    incoming = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "p"), ("b", "q"), (None, "n")], "code string, name string")
+    rows = keys.upsert(existing, incoming, "code", "key", ["name"]).orderBy("code").collect()
+    assert [tuple(r) for r in rows] == [(1, "a", "x"), (2, "b", "p")]
+    added = keys.insert_ignore(existing, incoming.selectExpr("7 AS key", "code", "name"), "code").orderBy("code", "name")
+    assert [tuple(r) for r in added.collect()] == [(1, "a", "old"), (7, "b", "p")]
+
+
+def test_provider_codes_fit_the_whitelist(spark):
+    from waitflow.functions.text import is_code
+    from waitflow.sources.pathways import provider_code
+
+    ids = spark.createDataFrame([(0,), (99_999,), (100_000,), (1_234_567,), (60_466_175,)], "id long")
+    codes = ids.select(provider_code(F.col("id")).alias("c"))
+    assert codes.filter(is_code(F.col("c"))).distinct().count() == 5
+    with pytest.raises(Exception, match="no six-character code"):
+        spark.createDataFrame([(60_466_176,)], "id long").select(provider_code(F.col("id"))).collect()

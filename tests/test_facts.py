@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SMALL
 from waitflow import schemas as S
 from waitflow.data import Data
-from waitflow.operators import lineage
-from waitflow.operators.rank import rank_desc
-from waitflow.plans import dims, facts, marts, stars
+from waitflow.plans import dims, facts, kpis, marts, stars
 
 M = dt.date(2020, 1, 1)
 ROWS = "period_date date, provider_id long, treatment_function_code string, wait_week int, patients int, is_open boolean, is_done boolean, is_admitted boolean"
@@ -103,26 +101,29 @@ def test_dense_grid_size_and_fill(spark):
     assert dense.agg(F.sum("total_waiting")).first()[0] == inside.agg(F.sum("total_waiting")).first()[0]
 
 
-def test_rank_desc_equals_window_rank(spark):
-    from pyspark.sql import Window
+def test_provider_without_region_is_ranked(spark):
+    columns = "provider_org_code string, provider_org_name string, region_code string, region_name string, period_date date"
+    measures = ["total_waiting", "waiting_over_18wks", "waiting_over_52wks", "completed_admitted", "completed_non_admitted", "total_completed", "new_rtt_periods"]
+    rows = [("A", "a", "R1", "r1", 9), ("B", "b", "R1", "r1", 5), ("C", "c", None, None, 3), ("D", "d", None, None, 4)]
+    frame = spark.createDataFrame([(*r[:4], M) for r in rows], columns).join(
+        spark.createDataFrame([(r[0], r[4]) for r in rows], "provider_org_code string, over long"), "provider_org_code"
+    )
+    frame = frame.withColumns({m: F.lit(10).cast("long") for m in measures} | {"avg_median_wait_weeks": F.lit(1.0)})
+    frame = frame.withColumn("waiting_over_18wks", F.col("over")).drop("over")
+    got = {r.provider_org_code: r.breach_rank_in_region for r in kpis.trust_alltime(frame).collect()}
+    assert got == {"A": 1, "B": 2, "C": 2, "D": 1}
+
 
-    df = spark.range(400).select(
-        (F.col("id") % 3).alias("g"), F.expr("cast(id % 37 as double) * 2.5").alias("v"), "id"
-    ).unionByName(
-        spark.createDataFrame([(0, 100.0, 1000), (0, 0.0, 1001), (0, None, 1002)], "g long, v double, id long")
+def test_months_after_the_seed_calendar_are_kept(spark):
+    d = Data(spark, SMALL)
+    late = d.incomplete().withColumn("period_date", F.add_months("period_date", 240))
+    star = stars.star_wait_band(late, {**d.dimensions(), "dim_wait_band": dims.dim_wait_band(spark)})
+    assert star.agg(F.sum("waiting_count")).first()[0] == late.agg(F.sum("total_waiting")).first()[0]
+    totals = late.groupBy("period_date").agg(F.sum("total_waiting").alias("total_waiting")).withColumns(
+        {"new_rtt_periods": F.lit(1), "total_completed": F.lit(1)}
     )
-    want = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v"))))
-    got = rank_desc(df, ["g"], "v", "r").select(*want.columns)
-    assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
-
-
-def test_cut_writes_to_the_shared_folder(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(lineage, "shared_folder", lambda _: str(tmp_path))
-    assert lineage.cut(spark.range(5)).count() == 5
-    assert list(tmp_path.iterdir())
-    monkeypatch.setattr(lineage, "shared_folder", lambda _: None)
-    df = spark.range(5)
-    assert lineage.cut(df) is df
+    insight = kpis.core_insight(totals, dims.standard_dim_date(spark))
+    assert insight.agg(F.sum("total_waiting")).first()[0] == late.agg(F.sum("total_waiting")).first()[0]
 
 
 def test_mart_totals_equal_fact_totals(spark):

@@ -23,9 +23,10 @@ def double_sql(cell: str) -> str:
     return f"try_cast(CASE WHEN {cell} RLIKE '[0-9]' THEN trim({cell}) END AS DOUBLE)"
 
 
-def to_count(text: Column, kind: str = "int") -> Column:
-    """Whole count; whatever does not parse is 0. Goes through double so that '12.0' is 12."""
-    return F.coalesce(to_double(text).try_cast(kind), F.lit(0).cast(kind))
+def to_count(text: Column) -> Column:
+    """Whole count; whatever is no number is 0, a number out of range is NULL. '12.0' is 12."""
+    number = to_double(text)
+    return F.when(number.isNull(), F.lit(0).cast("long")).otherwise(number.try_cast("long"))
 
 
 def zero(c: Column | str) -> Column:

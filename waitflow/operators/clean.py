@@ -34,7 +34,7 @@ def _number(df: DataFrame, name: str) -> Column:
 
 
 def _count(df: DataFrame, name: str | None) -> Column:
-    return to_count(_named(name)) if name in df.columns else F.lit(0)
+    return to_count(_named(name)) if name in df.columns else F.lit(0).cast("long")
 
 
 def band_columns(columns: list[str]) -> list[Column]:
@@ -44,7 +44,7 @@ def band_columns(columns: list[str]) -> list[Column]:
     for name, _, first, last, *_ in S.BANDS:
         # Cells of one band are added as doubles and cut to a whole number once.
         cells = [f"coalesce({double_sql(f'`{c}`')}, 0D)" for c in weekly[first : last + 1] if c in columns]
-        bands.append(F.expr(f"CAST({' + '.join(cells) or '0'} AS INT) AS {name}"))
+        bands.append(F.expr(f"try_cast({' + '.join(cells) or '0'} AS BIGINT) AS {name}"))
     return bands
 
 

@@ -46,13 +46,19 @@ def with_surrogate_key(df: DataFrame, code: str, key: str, bounded: bool = False
     )
 
 
+def _one_per_key(df: DataFrame, key: str) -> DataFrame:
+    return keep_first(df.dropna(subset=[key]), [key], [c for c in df.columns if c != key] or [key])
+
+
 def upsert(
     existing: DataFrame, incoming: DataFrame, code: str, key: str, updated: list[str], bounded: bool = False
 ) -> DataFrame:
     """Known codes keep their key and take the incoming values; new codes get the next keys.
 
-    Columns outside `updated` keep their existing value and take the incoming one only for new codes.
+    Columns outside `updated` keep their existing value and take the incoming one only for new codes. Incoming rows
+    without a code are refused; of several rows with one code the first by their values counts.
     """
+    incoming = _one_per_key(incoming, code)
     others = [c for c in existing.columns if c not in (code, key)]
     old = existing.select(code, key, *[F.col(c).alias(f"_old_{c}") for c in others], F.lit(True).alias("_known"))
     new = incoming.select(code, *[F.col(c).alias(f"_new_{c}") for c in others if c in incoming.columns])
@@ -72,7 +78,11 @@ def upsert(
 
 
 def insert_ignore(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Appends the incoming rows whose key is not there yet; existing rows stay as they are."""
+    """Appends the incoming rows whose key is not there yet; existing rows stay as they are.
+
+    Rows without a key are refused; of several rows with one key the first by their values counts.
+    """
+    incoming = _one_per_key(incoming, key)
     return existing.unionByName(incoming.join(existing.select(key), key, "left_anti").select(*existing.columns))
 
 

@@ -44,7 +44,7 @@ def _patients(condition: str) -> str:
     return f"CAST(COALESCE(SUM(CASE WHEN {condition} THEN patients END), 0) AS BIGINT)"
 
 
-_CODE = "'S' || CASE WHEN length({0}::VARCHAR) >= 5 THEN {0}::VARCHAR ELSE lpad({0}::VARCHAR, 5, '0') END"
+_CODE = "'S' || to_base({0}::BIGINT, 36, 5)"
 _BANDS = ",\n".join(f"{_patients(f'wait_week BETWEEN {b[2]} AND {b[3]}')} AS {b[0]}" for b in S.BANDS)
 _BAND_SUMS = ", ".join(f"{_big(c)} AS {c}" for c in S.BAND_COLUMNS)
 _BAND_LIST = ", ".join(S.BAND_COLUMNS)
@@ -200,16 +200,13 @@ CTES = {
         FROM raw_lines WHERE l_linestatus = 'O' GROUP BY {_KEY}, wait_week""",
     "silver": f"""
         SELECT {_KEY}, {', '.join(
-            f"CAST(COALESCE(SUM(CASE WHEN wait_week BETWEEN {b[2]} AND {b[3]} AND cell <> 1 THEN cell END), 0) AS INTEGER) AS {b[0]}"
+            f"CAST(COALESCE(SUM(CASE WHEN wait_week BETWEEN {b[2]} AND {b[3]} THEN cell END), 0) AS BIGINT) AS {b[0]}"
             for b in S.BANDS)},
-               CAST(SUM(cell) AS INTEGER) AS total_waiting
+               CAST(SUM(cell) AS BIGINT) AS total_waiting
         FROM weekly GROUP BY {_KEY}""",
     "labelled_silver": f"""
         SELECT s.*, p.region_code, p.provider_org_name, t.treatment_function_name
         FROM silver s JOIN providers p USING (provider_org_code) JOIN specialties t USING (treatment_function_code)""",
-    "sheet_totals": """
-        SELECT period_date, provider_org_code, SUM(patients) AS total FROM raw_lines
-        WHERE l_linestatus = 'O' GROUP BY 1, 2""",
     "hrefs": r"""
         SELECT page_id, CAST(pos - 1 AS INTEGER) AS position, hs[pos] AS href
         FROM (SELECT page_id, hs, unnest(generate_series(1, len(hs))) AS pos
@@ -267,8 +264,8 @@ def _star(columns: str, table: str, source: str | None = None) -> str:
         SELECT CAST(year(f.period_date) * 100 + month(f.period_date) AS INTEGER) AS date_key, t.trust_key, t.region_key,
                k.treatment_function_key, {columns}, f.period_date, f.provider_org_code,
                f.treatment_function_code{file}
-        FROM {table} f JOIN trusts t ON f.provider_org_code = t.trust_code
-             JOIN functions k ON f.treatment_function_code = k.treatment_function_code"""
+        FROM {table} f LEFT JOIN trusts t ON f.provider_org_code = t.trust_code
+             LEFT JOIN functions k ON f.treatment_function_code = k.treatment_function_code"""
 
 
 _DATE_KEY = "CAST(year(period_date) * 100 + month(period_date) AS INTEGER)"
@@ -405,20 +402,20 @@ _SQL: dict[str, str] = {
     "clean_rows": "SELECT provider_org_code, COUNT(*) AS n_rows FROM new_periods GROUP BY 1",
     "band_collapse": f"""
         SELECT period_date, {', '.join(
-            f"CAST(COALESCE(SUM(CASE WHEN wait_week BETWEEN {b[2]} AND {b[3]} THEN patients END), 0) AS INTEGER) AS {b[0]}"
+            f"CAST(COALESCE(SUM(CASE WHEN wait_week BETWEEN {b[2]} AND {b[3]} THEN patients END), 0) AS BIGINT) AS {b[0]}"
             for b in S.BANDS)}
         FROM raw_lines WHERE l_linestatus = 'O' GROUP BY period_date""",
     "silver_incomplete": f"""
         SELECT {_SILVER_BASE}, {_BAND_LIST}, total_waiting, {_PERIOD_TEXT} AS period_date,
                {_file('Incomplete-Provider')} AS source_file FROM labelled_silver""",
     "silver_completed": f"""
-        SELECT {_SILVER_BASE}, CAST(total_completed AS INTEGER) AS total_completed, median_wait_weeks,
+        SELECT {_SILVER_BASE}, CAST(total_completed AS BIGINT) AS total_completed, median_wait_weeks,
                percentile_92_wait_weeks, pathway_type, {_PERIOD_TEXT} AS period_date,
                CASE WHEN pathway_type = 'Admitted' THEN {_file('Admitted-Provider')}
                     ELSE {_file('NonAdmitted-Provider')} END AS source_file
         FROM completed JOIN providers USING (provider_org_code) JOIN specialties USING (treatment_function_code)""",
     "silver_new_periods": f"""
-        SELECT {_SILVER_BASE}, CAST(new_rtt_periods AS INTEGER) AS new_rtt_periods, {_PERIOD_TEXT} AS period_date,
+        SELECT {_SILVER_BASE}, CAST(new_rtt_periods AS BIGINT) AS new_rtt_periods, {_PERIOD_TEXT} AS period_date,
                {_file('New-Periods-Provider')} AS source_file
         FROM new_periods JOIN providers USING (provider_org_code) JOIN specialties USING (treatment_function_code)""",
     "dedup_first": f"""
@@ -426,8 +423,8 @@ _SQL: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY l_linenumber, l_orderkey, patients, wait_week) = 1""",
     "ingest_incomplete": f"""
         SELECT region_code, provider_org_code, provider_org_name, treatment_function_code, treatment_function_name,
-               {', '.join(f'CAST({c} AS INTEGER) AS {c}' for c in S.BAND_COLUMNS)},
-               CAST(total_waiting AS INTEGER) AS total_waiting, median_wait_weeks, percentile_92_wait_weeks,
+               {', '.join(f'CAST({c} AS BIGINT) AS {c}' for c in S.BAND_COLUMNS)},
+               CAST(total_waiting AS BIGINT) AS total_waiting, median_wait_weeks, percentile_92_wait_weeks,
                CAST(period_date AS VARCHAR) AS period_date,
                'Incomplete-Provider-' || strftime(period_date, '%b%y') || '.xlsx' AS source_file
         FROM incomplete JOIN providers USING (provider_org_code) JOIN specialties USING (treatment_function_code)""",
@@ -435,12 +432,11 @@ _SQL: dict[str, str] = {
         SELECT {_SILVER_BASE}, {_BAND_LIST}, total_waiting, period_date,
                'Incomplete-Provider-' || provider_org_code || '-' || strftime(period_date, '%b%y') || '.csv'
                    AS source_file
-        FROM labelled_silver JOIN sheet_totals USING (period_date, provider_org_code) WHERE total >= 5""",
+        FROM labelled_silver""",
     "ingest_rejects": """
-        SELECT 'Incomplete-Provider-' || provider_org_code || '-' || strftime(period_date, '%b%y') || '.csv'
-                   AS file_name,
-               CASE WHEN total < 3 THEN 'no period' ELSE 'no header' END AS status
-        FROM sheet_totals WHERE total < 5""",
+        SELECT file_name, status
+        FROM (VALUES ('NOPERIOD', 'no period'), ('NOHEADER', 'no header'), ('NOROWS', 'no rows')) AS t(n, status),
+             LATERAL (SELECT 'Incomplete-Provider-' || n || '.csv' AS file_name)""",
     "load_batch_incomplete": f"""
         SELECT 'incomplete_2021/22' AS load_batch_id, period_date, COUNT(*) AS n_rows,
                {_big('total_waiting')} AS total_waiting
@@ -519,7 +515,8 @@ _SQL: dict[str, str] = {
     "mart_monthly_dense": f"""
         WITH grid AS (
             SELECT full_date AS period_date, provider_org_code, treatment_function_code
-            FROM (SELECT full_date FROM calendar WHERE full_date BETWEEN DATE '2019-04-01' AND DATE '2020-03-01')
+            FROM (SELECT CAST(unnest(generate_series(MIN(period_date), MAX(period_date), INTERVAL 1 MONTH)) AS DATE)
+                         AS full_date FROM raw_lines)
                  CROSS JOIN (SELECT provider_org_code FROM providers)
                  CROSS JOIN (SELECT treatment_function_code FROM specialties))
         SELECT {_KEY}, COALESCE(i.total_waiting, 0) AS total_waiting,
@@ -815,7 +812,13 @@ _SQL: dict[str, str] = {
     ),
     "dq_orphans": " UNION ALL ".join(
         [
-            _orphans("l_suppkey", "lineitem", "(SELECT * FROM supplier WHERE s_acctbal > 0)", "l_suppkey", "s_suppkey"),
+            _orphans(
+                "l_suppkey",
+                "(SELECT CASE WHEN l_suppkey % 10 = 0 THEN -l_suppkey ELSE l_suppkey END AS l_suppkey FROM lineitem)",
+                "supplier",
+                "l_suppkey",
+                "s_suppkey",
+            ),
             _orphans("l_partkey", "lineitem", "part", "l_partkey", "p_partkey"),
             _orphans("l_orderkey", "lineitem", "orders", "l_orderkey", "o_orderkey"),
             _orphans("s_nationkey", "supplier", "nation", "s_nationkey", "n_nationkey"),

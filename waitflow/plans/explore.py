@@ -35,7 +35,7 @@ def slice_by(
 
 
 def region_year_matrix(summary: DataFrame, years: list[str]) -> DataFrame:
-    """Region rows, one column per year and rate. The years are given, so no extra job looks for them."""
+    """Region rows, one column per year and rate. The years are the columns of the result, so they are given."""
     grouped = (
         calendar.with_attributes(summary, ["financial_year"]).groupBy("region_name", "financial_year").agg(*sums())
     )
@@ -104,4 +104,8 @@ def profile(cells: DataFrame) -> DataFrame:
     )
 
 
-DEFAULT_YEARS = [f"{y}/{(y + 1) % 100:02d}" for y in range(2019, 2026)]
+def financial_years(summary: DataFrame) -> list[str]:
+    """Every financial year from the first month of the frame to the last, at most one per year of data."""
+    start = F.year(F.add_months("period_date", -3))
+    first, last = summary.agg(F.min(start), F.max(start)).first()
+    return [] if first is None else [f"{y}/{(y + 1) % 100:02d}" for y in range(first, last + 1)]

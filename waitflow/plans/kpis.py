@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from waitflow import schemas as S
 from waitflow.functions import calendar
 from waitflow.functions.numeric import percent, ratio, steady, zero
-from waitflow.operators.rank import rank_desc
 from waitflow.plans.marts import NATIONAL, in_months, since, sums
 
 
@@ -70,14 +69,14 @@ def national_trend(national: DataFrame) -> DataFrame:
 
 
 def core_insight(totals: DataFrame, months: DataFrame) -> DataFrame:
-    """Referrals against treatments for every calendar month, indexed to one month of the same frame."""
+    """Referrals against treatments for every month of the calendar or the data, indexed to one month of the frame."""
     named = totals.select(
         F.col("period_date").alias("full_date"),
         F.col("new_rtt_periods").alias("starts"),
         F.col("total_completed").alias("done"),
         F.col("total_waiting").alias("waiting"),
     )
-    joined = months.select("full_date").join(named, "full_date", "left")
+    joined = months.select("full_date").join(named, "full_date", "full_outer")
     base = F.max(F.when(F.col("full_date") == F.lit(S.INDEX_MONTH).cast("date"), F.col("starts"))).over(all_rows())
     starts, done = zero("starts"), zero("done")
     d = F.col("full_date")
@@ -204,6 +203,11 @@ def regional(summary: DataFrame) -> DataFrame:
     )
 
 
+def _breach_rank(*group: str) -> Column:
+    """RANK by breach rate inside a region. Providers are already grouped: a region has one row for each."""
+    return F.rank().over(Window.partitionBy(*group).orderBy(F.desc_nulls_last("breach_rate_pct")))
+
+
 def trust_scorecard(summary: DataFrame) -> DataFrame:
     """Provider x financial year, ranked by breach rate inside region and year."""
     key = ["provider_org_code", "provider_org_name", "region_name", "financial_year"]
@@ -222,7 +226,8 @@ def trust_scorecard(summary: DataFrame) -> DataFrame:
         _throughput(),
         _gap("referral_vs_treatment_gap"),
     )
-    return rank_desc(shown, ["region_name", "financial_year"], "breach_rate_pct", "breach_rank_in_region")
+    # A provider without a region is ranked among those without one, as in the all-time table.
+    return shown.withColumn("breach_rank_in_region", _breach_rank("region_name", "financial_year"))
 
 
 def trust_alltime(summary: DataFrame) -> DataFrame:
@@ -240,7 +245,7 @@ def trust_alltime(summary: DataFrame) -> DataFrame:
         _throughput(),
         _gap("referral_vs_treatment_gap"),
     )
-    return rank_desc(shown, ["region_code"], "breach_rate_pct", "breach_rank_in_region")
+    return shown.withColumn("breach_rank_in_region", _breach_rank("region_code"))
 
 
 RECOVERY = {

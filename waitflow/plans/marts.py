@@ -82,10 +82,6 @@ def dense_monthly(
     return grid.join(activity, key, "left").select(*key, *[c.alias(n) for n, c in filled.items()])
 
 
-def with_financial_year(df: DataFrame) -> DataFrame:
-    return calendar.with_attributes(df, ["financial_year"])
-
-
 def align_series(waiting: DataFrame, treated: DataFrame, referrals: DataFrame) -> DataFrame:
     """Full outer alignment of three month series (one row per month each)."""
     return waiting.join(treated, "period_date", "full_outer").join(referrals, "period_date", "full_outer")

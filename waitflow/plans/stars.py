@@ -1,9 +1,9 @@
 """Key resolution: natural keys to surrogate keys, in both flavours.
 
 `load_*` follows the relational track (inner joins, unresolved rows drop); `star_*` follows the lakehouse
-track (left joins, unresolved rows stay with NULL keys). The calendar (132 months) and the bands (12) have
-a fixed size, so those two are broadcast by hint; the other dimensions grow with the data and are left to
-Spark's size check.
+track (left joins, unresolved rows stay with NULL keys). The date key is computed from the month in both, so
+no calendar can be too short. The bands (12) have a fixed size and are broadcast by hint; the other dimensions
+grow with the data and are left to Spark's size check.
 """
 
 from __future__ import annotations
@@ -25,10 +25,6 @@ def _functions(dim_tf: DataFrame) -> DataFrame:
     return dim_tf.select("treatment_function_code", "treatment_function_key")
 
 
-def _dates(dim_date: DataFrame) -> DataFrame:
-    return F.broadcast(dim_date.select(F.col("full_date").alias("period_date"), "date_key"))
-
-
 def _bands(dim_band: DataFrame) -> DataFrame:
     return F.broadcast(dim_band.select("wait_band_key", "band_label", "is_breach", "is_long_waiter"))
 
@@ -85,8 +81,8 @@ STAR_KEYS = ["date_key", "trust_key", "region_key", "treatment_function_key"]
 
 def _star(facts: DataFrame, dims: dict[str, DataFrame], measures: list[str]) -> DataFrame:
     natural = S.CELL_KEY + (["source_file"] if "source_file" in facts.columns else [])
-    resolved = _resolve(facts, dims["dim_trust"], dims["dim_treatment_function"], "left").join(
-        _dates(dims["dim_date"]), "period_date", "left"
+    resolved = _resolve(facts, dims["dim_trust"], dims["dim_treatment_function"], "left").withColumn(
+        "date_key", calendar.date_key(F.col("period_date"))
     )
     return resolved.select(*STAR_KEYS, *measures, *natural)
 
@@ -118,9 +114,8 @@ def star_new_periods(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 def star_wait_band(facts: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Non-zero bands as rows with keys and flags; only fully resolved rows stay."""
-    keyed = _resolve(facts, dims["dim_trust"], dims["dim_treatment_function"], "inner").join(
-        _dates(dims["dim_date"]), "period_date", "inner"
-    )
+    dated = facts.filter("period_date IS NOT NULL").withColumn("date_key", calendar.date_key(F.col("period_date")))
+    keyed = _resolve(dated, dims["dim_trust"], dims["dim_treatment_function"], "inner")
     rows = banded(keyed, STAR_KEYS + S.CELL_KEY).withColumnRenamed("patients_waiting", "waiting_count")
     return rows.join(_bands(dims["dim_wait_band"]), "band_label").select(
         *STAR_KEYS, "wait_band_key", "band_label", "is_breach", "is_long_waiter", "waiting_count", *S.CELL_KEY

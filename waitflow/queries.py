@@ -364,11 +364,9 @@ def mart_from_facts(d: Data) -> DataFrame:
 
 @query
 def mart_monthly_dense(d: Data) -> DataFrame:
-    """One financial year of the grid, zero-filled."""
-    start, end = "2019-04-01", "2020-03-01"
-    inside = d.rows().filter(marts.in_months(start, end))
-    activity = facts.activity(inside, waits=True)
-    dense = marts.dense_monthly(activity, d.provider_ids(), d.specialties(), start, end)
+    """Every month of the data for every provider and specialty, zero-filled."""
+    start, end = d.rows(specialty=False).agg(F.min("period_date"), F.max("period_date")).first()
+    dense = marts.dense_monthly(d.activity(waits=True), d.provider_ids(), d.specialties(), str(start), str(end))
     return d.coded(dense).drop("provider_id")
 
 
@@ -592,7 +590,8 @@ def slice_dice(d: Data) -> DataFrame:
 
 @query
 def matrix_region_fy(d: Data) -> DataFrame:
-    return explore.region_year_matrix(d.region_summary(), explore.DEFAULT_YEARS)
+    months = d.rows(specialty=False).filter("is_open").select("period_date")
+    return explore.region_year_matrix(d.region_summary(), explore.financial_years(months))
 
 
 @query
@@ -738,10 +737,11 @@ def dq_missing_keys(d: Data) -> DataFrame:
 
 @query
 def dq_orphans(d: Data) -> DataFrame:
-    lines = d.table("lineitem")
+    """References of the lines and suppliers; every tenth supplier id on the lines is made one that nobody has."""
+    lines = d.table("lineitem").withColumn("l_suppkey", F.expr("IF(l_suppkey % 10 = 0, -l_suppkey, l_suppkey)"))
     return quality.orphan_report(
         [
-            ("l_suppkey", lines, d.table("supplier").filter("s_acctbal > 0"), "l_suppkey", "s_suppkey"),
+            ("l_suppkey", lines, d.table("supplier"), "l_suppkey", "s_suppkey"),
             ("l_partkey", lines, d.table("part"), "l_partkey", "p_partkey"),
             ("l_orderkey", lines, d.table("orders"), "l_orderkey", "o_orderkey"),
             ("s_nationkey", d.table("supplier"), d.table("nation"), "s_nationkey", "n_nationkey"),

@@ -137,11 +137,11 @@ def _processed(measures: list[T.StructField]) -> T.StructType:
 _WAITS = _fields(["median_wait_weeks", "percentile_92_wait_weeks"], T.DoubleType())
 
 # Processed CSV layouts; writer and reader use the same constant.
-INCOMPLETE_CSV = _processed(_fields([*BAND_COLUMNS, "total_waiting"], T.IntegerType()) + _WAITS)
+INCOMPLETE_CSV = _processed(_fields([*BAND_COLUMNS, "total_waiting"], T.LongType()) + _WAITS)
 COMPLETED_CSV = _processed(
-    _fields(["total_completed"], T.IntegerType()) + _WAITS + _fields(["pathway_type"], T.StringType())
+    _fields(["total_completed"], T.LongType()) + _WAITS + _fields(["pathway_type"], T.StringType())
 )
-NEW_PERIODS_CSV = _processed(_fields(["new_rtt_periods"], T.IntegerType()))
+NEW_PERIODS_CSV = _processed(_fields(["new_rtt_periods"], T.LongType()))
 
 
 def as_text(schema: T.StructType) -> T.StructType:

@@ -10,8 +10,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    # Percentile states stay in a hash map for this many keys per task before falling back to sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     # Call-site capture costs more than planning for expressions built column by column.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waitflow.sources.tables import spread, table
+from waitflow.sources.tables import table
 
 # Fixed values of the mapping: months added to the order month, wait period in days, open status.
 MONTH_SHIFT = 291
@@ -25,9 +25,10 @@ def period_of(order_date: Column) -> Column:
 
 
 def provider_code(provider_id: Column) -> Column:
-    """'S' and at least five digits; longer ids keep all their digits."""
-    digits = provider_id.cast("string")
-    return F.concat(F.lit("S"), F.lpad(digits, F.greatest(F.lit(5), F.length(digits)), F.lit("0")))
+    """'S' and five digits to the base 36: six characters, as codes have. Ids that need more digits are an error."""
+    digits = F.conv(provider_id.cast("string"), 10, 36)
+    too_long = F.raise_error(F.concat(F.lit("provider id has no six-character code: "), provider_id.cast("string")))
+    return F.when(F.length(digits) > 5, too_long.cast("string")).otherwise(F.concat(F.lit("S"), F.lpad(digits, 5, "0")))
 
 
 def _brand_number(code: Column) -> Column:
@@ -57,7 +58,7 @@ def pathways(spark: SparkSession, directory: str, specialty: bool = True) -> Dat
         (F.col("l_returnflag") == ADMITTED_FLAG).alias("is_admitted"),
         F.to_date("l_shipdate").alias("ship_day"),
     )
-    lines = spread(lines if specialty else lines.drop("l_partkey"), "l_orderkey")
+    lines = lines if specialty else lines.drop("l_partkey")
     if specialty:
         part = table(spark, directory, "part").select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("treatment_function_code")

@@ -1,11 +1,11 @@
-"""Raw sheets written from the pathway rows: text cells, suppressed counts, stray rows.
+"""Raw sheets written from the pathway rows: text cells and stray rows, and a few faulty sheets beside them.
 
 They stand in for the published spreadsheets, so that cleaning and ingest run on the given tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitflow import schemas as S
@@ -29,11 +29,8 @@ def weekly_sums(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
 
 
 def _cell(name: str) -> Column:
-    """Blank for nothing, a mark for a single patient, the number otherwise."""
-    return F.expr(
-        f"CASE WHEN `{name}` = 1 THEN '{SUPPRESSED}' WHEN `{name}` IS NULL THEN '' "
-        f"ELSE CAST(`{name}` AS STRING) END AS `{name}`"
-    )
+    """Blank for nothing, the number otherwise."""
+    return F.expr(f"coalesce(CAST(`{name}` AS STRING), '') AS `{name}`")
 
 
 def _base(df: DataFrame) -> list[Column]:
@@ -85,28 +82,44 @@ def new_periods_sheet(new: DataFrame) -> DataFrame:
     )
 
 
-# Sheet totals below these lose their period, or their header.
-NO_PERIOD_BELOW, NO_HEADER_BELOW = 3, 5
+def _text(period: Column | str, headings: Column, lines: Column) -> Column:
+    preamble = [F.lit("Statistics")] + [F.lit(",,")] * (S.PERIOD_ROW - 1)
+    preamble += [F.concat(F.lit(",Period:,"), period)] + [F.lit(",,")] * (S.HEADER_ROW - S.PERIOD_ROW - 1)
+    return F.array_join(F.concat(F.array(*preamble), headings, lines), "\n")
 
 
 def sheet_texts(weekly: DataFrame) -> DataFrame:
-    """One text per provider and month, with preamble. A text holds one line per specialty, no more."""
+    """One text per provider and month, with preamble, and the faulty sheets. A text holds one line per specialty."""
     cells = [*_base(weekly), *[_cell(h) for h in WEEK_HEADINGS], F.col(f"`{INCOMPLETE_TOTAL}`").cast("string")]
     line = F.concat_ws(",", *cells)
-    grouped = weekly.groupBy("period_date", "provider_org_code").agg(
-        F.array_sort(F.collect_list(line)).alias("lines"), F.sum(f"`{INCOMPLETE_TOTAL}`").alias("total")
-    )
-    total, month = F.col("total"), F.col("period_date")
-    period = F.when(total < NO_PERIOD_BELOW, "Unknown").otherwise(F.date_format(month, "MMMM yyyy"))
-    headings = ",".join(f'"{h}"' for h in INCOMPLETE_HEADINGS)
-    header = F.when(
-        (total >= NO_PERIOD_BELOW) & (total < NO_HEADER_BELOW), F.array().cast("array<string>")
-    ).otherwise(F.array(F.lit(headings)))
-    preamble = [F.lit("Statistics")] + [F.lit(",,")] * (S.PERIOD_ROW - 1)
-    preamble += [F.concat(F.lit(",Period:,"), period)] + [F.lit(",,")] * (S.HEADER_ROW - S.PERIOD_ROW - 1)
-    return grouped.select(
+    grouped = weekly.groupBy("period_date", "provider_org_code").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    month = F.col("period_date")
+    headings = F.array(F.lit(",".join(f'"{h}"' for h in INCOMPLETE_HEADINGS)))
+    good = grouped.select(
         F.concat(
             F.lit("Incomplete-Provider-"), "provider_org_code", F.lit("-"), F.date_format(month, "MMMyy"), F.lit(".csv")
         ).alias("file_name"),
-        F.array_join(F.concat(F.array(*preamble), header, F.col("lines")), "\n").alias("content"),
+        _text(F.date_format(month, "MMMM yyyy"), headings, F.col("lines")).alias("content"),
     )
+    return good.unionByName(faulty_sheets(weekly.sparkSession, headings))
+
+
+# Made-up sheets: (file name, period, has a header, has a line). The line has a suppressed and an unreadable cell.
+FAULTY_SHEETS = [
+    ("Incomplete-Provider-NOPERIOD.csv", "Unknown", True, True),
+    ("Incomplete-Provider-NOHEADER.csv", "April 2019", False, True),
+    ("Incomplete-Provider-NOROWS.csv", "April 2019", True, False),
+]
+
+
+def faulty_sheets(spark: SparkSession, headings: Column) -> DataFrame:
+    line = ",".join(["Y00", "TEST01", "Test", "C_1", "Nothing", SUPPRESSED, "n/a", *["1"] * (len(WEEK_HEADINGS) - 2), "51"])
+    none = F.array().cast("array<string>")
+    texts = [
+        F.struct(
+            F.lit(name).alias("file_name"),
+            _text(F.lit(period), headings if header else none, F.array(F.lit(line)) if rows else none).alias("content"),
+        )
+        for name, period, header, rows in FAULTY_SHEETS
+    ]
+    return spark.range(1).select(F.inline(F.array(*texts)))

@@ -56,13 +56,6 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(f"{directory}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deals out the rows of an input that comes in far fewer pieces than there are cores, as one
-    unsplittable file does. An input in enough pieces, so any large one, is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     """Replace (or append to) a Parquet table. Partition columns should have few values, such as the
     financial year; rows are gathered by them first so that no task writes a file per partition value,
