@@ -33,7 +33,6 @@ UNITS = frozenset(
     "meter meters metre metres kilometer kilometers mile miles inch inches foot feet gram grams kilogram kilograms pound pounds "
     "liter liters litre litres ml l percent % dollar dollars euro euros cent cents usd eur $ € degree degrees mph kmh".split()
 )
-_SPLIT = re.compile("[^\x20\x09-\x0d]+")
 _EDGES = re.compile(r"^[^\w$€%]+|[^\w$€%]+$")
 _NUMBER = re.compile(r"[+-]?[$€]?[0-9][0-9.,:/]*%?$")
 _WORD, _NUM, _CAP, _UNIT = 0, 1, 2, 3
@@ -47,11 +46,13 @@ def _hash(text: str) -> int:
 
 
 class _Words(dict):
-    """Word -> number of its row in the arrays below; forgotten as a whole when full."""
+    """Word -> number of its row in the arrays of facts; forgotten as a whole when full."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.rows: list[tuple[int, int, int]] = []
+        self.rows: list[tuple[int, int, bool]] = []
+        self.facts = np.empty((1024, 3), np.uint64)
+        self.filled = 0
 
     def __missing__(self, word: str) -> int:
         core = _EDGES.sub("", word)
@@ -64,9 +65,19 @@ class _Words(dict):
             kind = _CAP
         ends = word[-1:] in ".!?:" or not core
         self.rows.append((_hash(core.lower() or word), kind, ends))
-        self[word] = len(self.rows) - 1
+        self[word] = self.filled + len(self.rows) - 1
         return self[word]
 
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """(value, kind, ends a sentence) of some rows."""
+        if self.rows:
+            end = self.filled + len(self.rows)
+            if end > len(self.facts):
+                self.facts = np.concatenate([self.facts[: self.filled], np.empty((end, 3), np.uint64)])
+            self.facts[self.filled : end] = self.rows
+            self.filled, self.rows = end, []
+        return self.facts[ids]
+
 
 _memo = _Words()
 
@@ -74,33 +85,31 @@ _memo = _Words()
 def template(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code, value, placeholder?) per word: code is what windows compare, value is the word itself.
 
-    A capitalised word is a name unless it starts a sentence or a line; a unit word is a unit after a number.
+    Words are split at white space. A capitalised word is a name unless it starts a sentence or a line; a unit word is
+    a unit after a number.
     """
     global _memo
-    words = text.replace("\n", " \n ").split(" ")
     if len(_memo) > _MEMO:
         _memo = _Words()
-    ids, breaks = [], []
-    after_break = True
-    for w in words:
-        if w == "\n":
-            after_break = True
-        elif w:
-            for part in _SPLIT.findall(w) if any(c in w for c in "\t\x0b\x0c\r") else (w,):
-                ids.append(_memo[part])
-                breaks.append(after_break)
-                after_break = False
+    ids: list[int] = []
+    firsts: list[int] = []
+    for line in text.splitlines():
+        words = line.split()
+        if words:
+            firsts.append(len(ids))
+            ids += map(_memo.__getitem__, words)
     if not ids:
         empty = np.empty(0, np.uint64)
         return empty, empty, np.empty(0, bool)
-    rows = [_memo.rows[i] for i in ids]
-    value = np.array([r[0] for r in rows], np.uint64)
-    kind = np.array([r[1] for r in rows], np.int64)
-    ends = np.array([r[2] for r in rows], bool)
-    starts = np.array(breaks, bool) | np.concatenate([[True], ends[:-1]])
+    facts = _memo.of(np.array(ids, np.int64))
+    value, kind = facts[:, 0].copy(), facts[:, 1].astype(np.int64)
+    starts = np.zeros(len(ids), bool)
+    starts[firsts] = True
+    starts[1:] |= facts[:-1, 2] == 1
     kind[(kind == _CAP) & starts] = _WORD
-    number_before = np.concatenate([[False], kind[:-1] == _NUM])
-    kind[(kind == _UNIT) & ~number_before] = _WORD
+    kind[1:][(kind[1:] == _UNIT) & (kind[:-1] != _NUM)] = _WORD
+    if kind[0] == _UNIT:
+        kind[0] = _WORD
     slot = kind != _WORD
     return np.where(slot, _CODES[kind], value), value, slot
 
@@ -113,8 +122,8 @@ def windows(code: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray,
     h = np.full(n, width, np.uint64)
     for i in range(width):
         h = h * _Q + code[i : i + n]
-    plain = np.convolve(~slot, np.ones(width, np.int64), "valid") if width > 1 else (~slot).astype(np.int64)
-    at = (plain >= min(PLAIN, width)).nonzero()[0]
+    sums = np.concatenate([[0], np.cumsum(~slot)])
+    at = (sums[width:] - sums[:-width] >= min(PLAIN, width)).nonzero()[0]
     return at, mix(h[at])
 
 
