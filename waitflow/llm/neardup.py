@@ -1,10 +1,11 @@
 """Near duplicates: MinHash bands propose pairs, a sequential Bayesian test prunes them, full sets decide.
 
 Documents with the same shingle set are one class, represented by its smallest doc_id; only representatives are
-banded. In each band bucket every member is first compared with the smallest one, and only members that are
-then still in different components are compared with each other, so a bucket of many copies needs one
-comparison per member and a bucket of strangers still gets all of its comparisons. Comparisons run on signatures
-inside blocks of bounded size; only pairs that survive the test become rows.
+banded. Every member is first compared with the smallest one that it shares a bucket with. Then, in each bucket,
+members that are still in different components are compared with each other inside blocks of bounded size: the
+sequential test prunes on signatures, survivors are verified on their sets in the block, and two components are
+compared no further once a link joins them. So a bucket of many copies sends on about one link per component, and
+a bucket of strangers still gets all of its comparisons.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ BANDS, ROWS = 25, 5  # a pair at 0.85 shares no band with a probability of 8e-7
 HASHES = 128
 BATCH = 32
 MISS = 1e-6  # a pair is pruned when its posterior chance of reaching the threshold is below this
-BLOCK = 1024  # members of a bucket that meet in one comparison block
+BLOCK = 512  # members of a bucket that meet in one comparison block
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _XOR = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
@@ -97,7 +98,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """(bucket, rep) for every band of every class; the bucket number holds the band."""
+    """(bucket, band, rep) for every band of every class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,9 +109,12 @@ def bands(classes: DataFrame) -> DataFrame:
             for i in range(ROWS):
                 h = mix(h ^ (rows[:, :, i] * np.uint64(0x9E3779B97F4A7C15)))
             reps = np.repeat(batch["rep"].to_numpy(), BANDS)
-            yield pa.record_batch([pa.array(h.reshape(-1).view(np.int64)), pa.array(reps)], names=["bucket", "rep"])
+            band = np.tile(np.arange(BANDS, dtype=np.int32), len(batch))
+            yield pa.record_batch(
+                [pa.array(h.reshape(-1).view(np.int64)), pa.array(band), pa.array(reps)], names=["bucket", "band", "rep"]
+            )
 
-    return classes.select("rep", "signature").mapInArrow(run, "bucket long, rep long")
+    return classes.select("rep", "signature").mapInArrow(run, "bucket long, band int, rep long")
 
 
 def test_pairs(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
@@ -129,14 +133,21 @@ def test_pairs(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT, mis
     return both.select("a", "b", "sign_a", "sign_b").mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold; sets are made only for documents in a pair."""
+def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, hashes) of the documents named in wanted; texts are dealt out by doc_id once."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [shingle_set(t or b"").tobytes() for t in batch["text"].cast(pa.binary()).to_pylist()]
             yield pa.record_batch([batch["doc_id"], pa.array(made, pa.binary())], names=["doc_id", "hashes"])
 
+    own = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
+    return own.mapInArrow(run, "doc_id long, hashes binary")
+
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs whose full shingle sets reach the threshold."""
+
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -147,11 +158,8 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFra
                     good.append(i)
             yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    own = docs.selectExpr("CAST(doc_id AS LONG) AS doc_id", "text").join(wanted, "doc_id", "left_semi")
-    made = stored(own.mapInArrow(sets, "doc_id long, hashes binary"), "sets")
-    both = pairs.join(made.withColumnsRenamed({"doc_id": "a", "hashes": "set_a"}), "a").join(
-        made.withColumnsRenamed({"doc_id": "b", "hashes": "set_b"}), "b"
+    both = pairs.join(sets.withColumnsRenamed({"doc_id": "a", "hashes": "set_a"}), "a").join(
+        sets.withColumnsRenamed({"doc_id": "b", "hashes": "set_b"}), "b"
     )
     return both.select("a", "b", "set_a", "set_b").mapInArrow(exact, "a long, b long")
 
@@ -176,27 +184,66 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield rest
 
 
-def test_buckets(members: DataFrame, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
-    """Surviving pairs of one bucket whose members lie in different components.
+def _first_shared(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The first band that a signature shares with each of many (BANDS if none)."""
+    same = (many[:, : BANDS * ROWS] == one[: BANDS * ROWS]).reshape(-1, BANDS, ROWS).all(axis=2)
+    return np.where(same.any(axis=1), same.argmax(axis=1), BANDS)
+
+
+def _link_block(rep, comp, chunk, low, high, band, signs, sets, steps, percent) -> list[tuple[int, int]]:
+    """Links that join the components of one block."""
+    comp = comp.copy()
+    sizes = np.array([len(x) for x in sets])
+    ends = np.cumsum(sizes)
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    marks = np.zeros(int(ids.max()) + 1, np.int64)
+    left, right = (chunk == low).nonzero()[0], (chunk == high).nonzero()[0]
+    links = []
+    for i in left:
+        other = right[(comp[right] != comp[i]) & ((rep[right] > rep[i]) | (low != high))]
+        if not len(other):
+            continue
+        other = other[survivors(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], steps)]
+        # A pair that meets in several buckets is verified in the first of them.
+        other = other[_first_shared(signs[i], signs[other]) == band]
+        if not len(other):
+            continue
+        own = ids[ends[i] - sizes[i] : ends[i]]
+        marks[own] = 1
+        for a in range(0, len(other), 64):
+            part = other[a : a + 64]
+            part = part[comp[part] != comp[i]]
+            if not len(part):
+                continue
+            common = np.array([marks[ids[ends[j] - sizes[j] : ends[j]]].sum() for j in part])
+            linked = part[100 * common >= percent * (sizes[i] + sizes[part] - common)]
+            for j in linked:
+                if comp[j] != comp[i]:
+                    links.append((int(min(rep[i], rep[j])), int(max(rep[i], rep[j]))))
+                    comp[comp == comp[j]] = comp[i]
+        marks[own] = 0
+    return links
+
+
+def link_buckets(members: DataFrame, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
+    """Verified links (a, b) that join the components which meet in a bucket.
 
-    members: bucket, rep, component, signature, n (members of the bucket). A bucket is dealt into chunks of about
-    BLOCK members and every pair of chunks is a block of its own, so no task holds a large bucket.
+    members: bucket, band, rep, component, signature, hashes, n (members of the bucket). A bucket is dealt into
+    chunks of about BLOCK members and every pair of chunks is a block of its own, so no task holds a large bucket.
     """
     steps = least_matches(percent, miss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["bucket", "low", "high"]):
             rep, comp, chunk = (group[c].to_numpy() for c in ("rep", "component", "chunk"))
+            if len(set(comp.tolist())) < 2:
+                continue
+            low, high, band = (group[c][0].as_py() for c in ("low", "high", "band"))
             signs = _matrix(group["signature"].combine_chunks())
-            low, high = group["low"][0].as_py(), group["high"][0].as_py()
-            left, right = (chunk == low).nonzero()[0], (chunk == high).nonzero()[0]
-            for i in left:
-                other = right[(comp[right] != comp[i]) & ((rep[right] > rep[i]) | (low != high))]
-                if len(other):
-                    found = other[survivors(np.broadcast_to(signs[i], (len(other), HASHES)), signs[other], steps)]
-                    if len(found):
-                        a, b = np.minimum(rep[found], rep[i]), np.maximum(rep[found], rep[i])
-                        yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+            sets = [np.frombuffer(x, np.uint64) for x in group["hashes"].to_pylist()]
+            links = _link_block(rep, comp, chunk, low, high, band, signs, sets, steps, percent)
+            if links:
+                yield pa.record_batch([pa.array(c) for c in zip(*links)], names=["a", "b"])
 
     chunks = F.ceil(F.col("n") / BLOCK).cast("int")
     blocks = F.expr("transform(sequence(0, chunks - 1), j -> struct(least(chunk, j) AS low, greatest(chunk, j) AS high))")
@@ -204,10 +251,10 @@ def test_buckets(members: DataFrame, percent: int = PERCENT, miss: float = MISS)
         members.withColumn("chunks", chunks)
         .withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
         .withColumn("block", F.explode(blocks))
-        .select("bucket", "block.low", "block.high", "chunk", "rep", "component", "signature")
+        .select("bucket", "block.low", "block.high", "band", "chunk", "rep", "component", "signature", "hashes")
     )
     sorted_blocks = dealt.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    return sorted_blocks.mapInArrow(run, "a long, b long").distinct()
+    return sorted_blocks.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
@@ -226,24 +273,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, miss: float = MISS)
     sizes = placed.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stored(placed.join(sizes, "bucket"), "buckets")
 
-    star = shared.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = stored(verify(stored(test_pairs(star, classes, percent, miss), "pairs"), docs, percent), "links")
-    joined = components(links)
-
-    rest = shared.filter("rep <> leader AND n > 2").select("bucket", "rep")
-    labelled = stored(
-        rest.join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")),
-        "members",
-    )
+    sets = stored(shingle_sets(docs, shared.select(F.col("rep").alias("doc_id")).distinct()), "sets")
+    star = shared.filter("leader < rep").groupBy(F.col("rep").alias("b")).agg(F.min("leader").alias("a")).select("a", "b")
+    links = stored(verify(test_pairs(star, classes, percent, miss), sets, percent), "links")
+    first = components(links)
+    labelled = shared.select("bucket", "band", "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left")
+    labelled = stored(labelled.withColumn("component", F.coalesce("component", "rep")), "members")
     mixed = (
         labelled.groupBy("bucket")
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("n"))
         .filter("_low <> _high")
         .select("bucket", "n")
     )
-    members = labelled.join(mixed, "bucket").join(classes.select("rep", "signature"), "rep")
-    more = verify(stored(test_buckets(members, percent, miss), "pairs"), docs, percent)
-    final = stored(components(stored(links.union(more), "links")), "components")
+    carried = classes.select("rep", "signature").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    members = labelled.join(mixed, "bucket").join(carried, "rep")
+    links = stored(links.union(link_buckets(members, percent, miss)), "links")
+    final = components(links)
 
     by_class = classes.select("set_key", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
     placed_rows = rows.select("doc_id", "n_shingles", "set_key").join(
