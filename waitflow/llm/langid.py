@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -36,28 +37,26 @@ def pieces(path: str) -> tuple[dict[str, int], int]:
     return found, max(map(len, found))
 
 
-def _edges(word: str, vocabulary: dict[str, int], longest: int) -> tuple[list[int], list[int], list[int]]:
-    """(start, end, piece) of every piece in a word; a character without a piece gets a fallback piece."""
-    n = len(word)
-    starts, ends, ids = [], [], []
-    get = vocabulary.get
-    size = len(vocabulary) + 1000
-    for i in range(n):
-        for j in range(i + 1, min(n, i + longest) + 1):
-            p = get(word[i:j])
-            if p is not None:
-                starts.append(i)
-                ends.append(j)
-                ids.append(p)
-            elif j == i + 1:
-                starts.append(i)
-                ends.append(j)
-                ids.append(size + len(word[i].encode("utf-8", "replace")))
-    return starts, ends, ids
-
-
-def forward(words: list[str], table: np.ndarray, vocabulary: dict[str, int], longest: int) -> np.ndarray:
+def _trie(vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted (node, character) keys of the pieces' prefixes, the node each leads to, and the piece it ends (or -1)."""
+    nodes: dict[tuple[int, str], int] = {}
+    piece = [-1]
+    for text, i in vocabulary.items():
+        at = 0
+        for c in text:
+            at = nodes.setdefault((at, c), len(piece))
+            if at == len(piece):
+                piece.append(-1)
+        piece[at] = i
+    keys = np.array([(at << 21) | ord(c) for at, c in nodes], np.int64)
+    order = keys.argsort()
+    to = np.fromiter(nodes.values(), np.int64, len(nodes))[order]
+    return keys[order], to, np.array(piece, np.int64)[to]
+
+
+def forward(words: list[str], table: np.ndarray, vocabulary: dict[str, int], longest: int, trie: tuple | None = None) -> np.ndarray:
     """Natural log likelihood per word and language. table: rows by piece id, the last rows for fallbacks."""
+    trie = trie or _trie(vocabulary)
     out = np.empty((len(words), table.shape[1]))
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     at = 0
@@ -65,47 +64,49 @@ def forward(words: list[str], table: np.ndarray, vocabulary: dict[str, int], lon
         n = at
         while n < len(order) and (n == at or (n - at + 1) * (len(words[order[n]]) + 2) <= 400_000):
             n += 1
-        out[order[at:n]] = _forward([MARK + words[i] for i in order[at:n]], table, vocabulary, longest)
+        out[order[at:n]] = _forward([MARK + words[i] for i in order[at:n]], table, len(vocabulary) + 1000, longest, trie)
         at = n
     return out
 
 
-def _forward(words: list[str], table: np.ndarray, vocabulary: dict[str, int], longest: int) -> np.ndarray:
-    lengths = np.array([len(w) for w in words])
-    starts, ends, ids, owner = [], [], [], []
-    for i, w in enumerate(words):
-        s, e, p = _edges(w, vocabulary, longest)
-        starts += s
-        ends += e
-        ids += p
-        owner += [i] * len(s)
-    start, end, piece, own = (np.array(v, np.int64) for v in (starts, ends, ids, owner))
-    by_end = np.lexsort((own, end))
-    start, end, piece, own = start[by_end], end[by_end], piece[by_end], own[by_end]
-    languages = table.shape[1]
-    alpha = np.zeros((int(lengths.max()) + 1, len(words), languages))
+def _forward(words: list[str], table: np.ndarray, fallback: int, longest: int, trie: tuple) -> np.ndarray:
+    """Of words in the order of their lengths. Every place hands its sum on along the pieces that start there."""
+    keys, to, ends = trie
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    top_length = int(lengths.max())
+    flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    own = np.repeat(np.arange(len(words)), lengths)
+    chars = np.full((top_length + longest, len(words)), -1, np.int64)
+    chars[np.arange(len(flat)) - (np.cumsum(lengths) - lengths)[own], own] = flat
+    alpha = np.zeros((top_length + longest + 1, len(words), table.shape[1]))
     alpha[0] = 1.0
     scale = np.zeros(len(words))
-    bounds = np.searchsorted(end, np.arange(1, int(lengths.max()) + 2))
-    result = np.empty((len(words), languages))
-    for i in range(1, len(alpha)):
-        a, b = bounds[i - 1], bounds[i]
-        if b > a:
-            o = own[a:b]
-            first = np.concatenate([[0], (o[1:] != o[:-1]).nonzero()[0] + 1])
-            alpha[i, o[first]] = np.add.reduceat(alpha[start[a:b], o] * table[piece[a:b]], first, axis=0)
-        done = (lengths == i).nonzero()[0]
-        if len(done):
-            with np.errstate(divide="ignore"):
-                result[done] = np.log(np.maximum(alpha[i, done], 1e-300)) + scale[done, None]
-        if i % 8 == 0:  # keeps long words above the smallest double
-            top = alpha[i].max(axis=1)
-            low = ((top > 0) & (top < 1e-60) & (lengths > i)).nonzero()[0]
+    live_from = np.searchsorted(lengths, np.arange(top_length), side="right")
+    for i in range(top_length):
+        w = np.arange(live_from[i], len(words))
+        if i and i % 8 == 0:  # keeps long words above the smallest double
+            top = alpha[i, w].max(axis=1)
+            low = ((top > 0) & (top < 1e-60)).nonzero()[0]
             if len(low):
-                window = slice(max(0, i - longest), i + 1)
-                alpha[window, low] /= top[low][None, :, None]
-                scale[low] += np.log(top[low])
-    return result
+                alpha[i : i + longest, w[low]] /= top[low][None, :, None]
+                scale[w[low]] += np.log(top[low])
+        node = np.zeros(len(w), np.int64)
+        for step in range(longest):
+            c = chars[i + step, w]
+            k = np.searchsorted(keys, (node << 21) | c)
+            k[k == len(keys)] = 0
+            known = (keys[k] == (node << 21) | c) & (c >= 0)
+            piece = np.where(known, ends[k], -1)
+            if step == 0:  # a character that is no piece costs its bytes
+                size = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+                piece = np.where(piece < 0, fallback + size, piece)
+            hit = (piece >= 0).nonzero()[0]
+            alpha[i + step + 1, w[hit]] += alpha[i, w[hit]] * table[piece[hit]]
+            w, node = w[known], to[k[known]]
+            if not len(w):
+                break
+    with np.errstate(divide="ignore"):
+        return np.log(np.maximum(alpha[lengths, np.arange(len(words))], 1e-300)) + scale[:, None]
 
 
 class _Scores:
@@ -114,6 +115,7 @@ class _Scores:
     def __init__(self, table: np.ndarray, path: str):
         self.table = table
         self.vocabulary, self.longest = pieces(path)
+        self.trie = _trie(self.vocabulary)
         self.clear()
 
     def clear(self) -> None:
@@ -126,10 +128,15 @@ class _Scores:
             self.clear()
         new = list({w for words in split for w in words if w not in self.rows})
         if new:
-            self.values = np.concatenate([self.values, forward(new, self.table, self.vocabulary, self.longest)])
+            self.values = np.concatenate([self.values, forward(new, self.table, self.vocabulary, self.longest, self.trie)])
             self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
-        get = self.rows.__getitem__
-        return np.stack([self.values[[*map(get, words)]].sum(axis=0) if words else np.zeros(self.table.shape[1]) for words in split])
+        sizes = np.array([len(words) for words in split])
+        at = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(split)), np.int64, sizes.sum())
+        out = np.zeros((len(texts), self.table.shape[1]))
+        some = sizes > 0
+        if len(at):
+            out[some] = np.add.reduceat(self.values[at], (np.cumsum(sizes) - sizes)[some], axis=0)
+        return out
 
 
 def held_out(doc_id: Column, modulus: int = 4) -> Column:
