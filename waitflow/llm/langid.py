@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 SAMPLE = 2000  # labelled documents per language that the probabilities are learned from
+SALTS = 256  # parts of a language that are sorted apart before the last cut
 SMOOTHING = 0.05  # added to the count of every piece
 FALLBACK = 1e-6  # probability of one byte of a character outside the vocabulary, alike in all languages
 MEMO = 300_000
@@ -151,8 +152,12 @@ def learn(docs: DataFrame, path: str = VOCABULARY, sample: int = SAMPLE) -> tupl
     of them where there are fewer). Counts come back as one row per language and piece of the vocabulary.
     """
     labelled = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = labelled.select("lang", "doc_id").withColumn("_nth", nth).filter(F.col("_nth") <= sample).select("lang", "doc_id").distinct()
+    # A language is first cut in SALTS parts, so that the last sort has at most SALTS * sample rows of it.
+    chosen = labelled.select("lang", "doc_id", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)).alias("_salt"))
+    for part in (["lang", "_salt"], ["lang"]):
+        nth = F.row_number().over(Window.partitionBy(*part).orderBy(F.xxhash64("doc_id"), "doc_id"))
+        chosen = chosen.withColumn("_nth", nth).filter(F.col("_nth") <= sample).drop("_nth")
+    chosen = chosen.select("lang", "doc_id").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from sentencepiece import SentencePieceProcessor
