@@ -531,6 +531,10 @@ _SQL: dict[str, str] = {
         SELECT *, CAST(year(period_date) AS INTEGER) AS year, {_fy('period_date')} AS financial_year,
                {_fq('period_date')} AS financial_quarter, CAST({_covid('period_date')} AS INTEGER) AS is_covid_period
         FROM national""",
+    "mart_national_all_keys": f"""
+        SELECT *, CAST(year(period_date) AS INTEGER) AS year, {_fy('period_date')} AS financial_year,
+               {_fq('period_date')} AS financial_quarter, CAST({_covid('period_date')} AS INTEGER) AS is_covid_period
+        FROM month_totals""",
     "q1_national_trend": f"""
         SELECT period_date, {_fy('period_date')} AS financial_year,
                CAST({_covid('period_date')} AS INTEGER) AS is_covid_period, total_waiting, total_completed,
@@ -623,6 +627,11 @@ _SQL: dict[str, str] = {
                           {_ratio('new_rtt_periods', 'total_completed')} AS referral_to_treatment_ratio,
                           total_waiting - LAG(total_waiting) OVER (ORDER BY period_date) AS list_change FROM national)
         SELECT *, COALESCE(referral_to_treatment_ratio < 1 AND list_change < 0, FALSE) AS demand_suppressed FROM t""",
+    "suppression_flag_all_keys": f"""
+        WITH t AS (SELECT period_date, total_waiting,
+                          {_ratio('new_rtt_periods', 'total_completed')} AS referral_to_treatment_ratio,
+                          total_waiting - LAG(total_waiting) OVER (ORDER BY period_date) AS list_change FROM month_totals)
+        SELECT *, COALESCE(referral_to_treatment_ratio < 1 AND list_change < 0, FALSE) AS demand_suppressed FROM t""",
     "ratio_trend": f"""
         WITH t AS (SELECT period_date, {_ratio('new_rtt_periods', 'total_completed')} AS referral_to_treatment_ratio
                    FROM national)

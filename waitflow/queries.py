@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitflow import schemas as S
@@ -157,8 +157,8 @@ PAGE_KINDS = [("tion", "kind_tion"), ("en", "kind_en"), ("e", "kind_e"), ("a", "
 PAGE_EXTENSIONS = ["n", "e", "s", "r"]
 
 
-def _page_links(d: Data) -> DataFrame:
-    return links.classified_links(d.table("pages"), SITE, PAGE_KINDS, PAGE_EXTENSIONS)
+def _page_links(d: Data, *carried: Column) -> DataFrame:
+    return links.classified_links(d.table("pages"), SITE, PAGE_KINDS, PAGE_EXTENSIONS, carried)
 
 
 @query
@@ -167,26 +167,20 @@ def links_classified(d: Data) -> DataFrame:
 
 
 def _grouped_links(d: Data) -> DataFrame:
-    group = F.regexp_extract("url", "/([a-z]{2})/", 1)
-    pages = d.table("pages").select("page_id", group.alias("page_group"))
-    return _page_links(d).join(pages, "page_id")
-
-
-def _ingested(d: Data) -> DataFrame:
-    """Files of the secure pages count as already there."""
-    return _grouped_links(d).join(
-        d.table("pages").filter(F.col("url").startswith("https")).select("page_id"), "page_id", "left_semi"
-    )
+    """Links with the group of their page; files of the secure pages count as already there."""
+    url = F.col("url")
+    group, there = F.regexp_extract(url, "/([a-z]{2})/", 1), F.coalesce(url.startswith("https"), F.lit(False))
+    return _page_links(d, group.alias("page_group"), there.alias("there"))
 
 
 @query
 def manifest_counts(d: Data) -> DataFrame:
-    return links.manifest(_grouped_links(d), _ingested(d), "page_group")
+    return links.count_new(links.linked_files(_grouped_links(d), "page_group", "there"), "page_group")
 
 
 @query
 def manifest_new_files(d: Data) -> DataFrame:
-    return links.new_files(_grouped_links(d), _ingested(d), "page_group")
+    return links.linked_files(_grouped_links(d), "page_group", "there").filter("known IS NULL").drop("known")
 
 
 @query
@@ -375,6 +369,12 @@ def mart_national_monthly(d: Data) -> DataFrame:
     return calendar.with_attributes(d.national(), ["year", "financial_year", "financial_quarter", "is_covid_period"])
 
 
+@query
+def mart_national_all_keys(d: Data) -> DataFrame:
+    """National months over every key, also those without a waiting list."""
+    return calendar.with_attributes(d.month_totals(), ["year", "financial_year", "financial_quarter", "is_covid_period"])
+
+
 # --- the seven questions -------------------------------------------------------------------------------
 
 
@@ -439,6 +439,11 @@ def suppression_flag(d: Data) -> DataFrame:
     return kpis.suppression_flag(d.national())
 
 
+@query
+def suppression_flag_all_keys(d: Data) -> DataFrame:
+    return kpis.suppression_flag(d.month_totals())
+
+
 @query
 def ratio_trend(d: Data) -> DataFrame:
     return kpis.ratio_trend(d.national())
