@@ -208,6 +208,15 @@ def test_mixing_odd_rows(spark):
     assert {r.doc_id: r.n_tokens for r in mixlm.score(docs(spark, long)).collect()} == {1: 200_001, 2: 2}
 
 
+def test_mixing_cost_grows_with_an_unseen_word(spark):
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
+    rows = [(1000 + i, "some plain words to learn from") for i in range(40)]
+    rows += [(i, "x" * n) for i, n in zip(held, (1_000, 10_000, 100_000))]
+    got = {r.doc_id: r.score for r in mixlm.score(docs(spark, rows)).collect()}
+    assert got[held[1]] / got[held[0]] == pytest.approx(10, rel=0.1)
+    assert got[held[2]] / got[held[1]] == pytest.approx(10, rel=0.1)
+
+
 def test_language_accuracy(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(table).join(table.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
