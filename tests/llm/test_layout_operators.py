@@ -186,6 +186,30 @@ def test_nearest_recall(spark):
     assert sum(len(got[q] & {i for i, _ in near}) for q, near in want.items()) >= 0.9 * 5 * len(want)
 
 
+def recall(spark, x, query_step):
+    """Share of the true 5 nearest that are found, for the rows whose place is divisible by query_step."""
+    import pyarrow as pa
+
+    table = pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x), pa.list_(pa.float64()))})
+    got = forest.search(spark.createDataFrame(table), query_step).toPandas().groupby("query_id").vec_id.agg(set)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    share = []
+    for q in range(0, len(x), query_step):
+        s = unit @ unit[q]
+        s[q] = -2
+        share.append(len(got[q] & set(np.argsort(-s)[:5].tolist())) / 5)
+    return np.array(share)
+
+
+def test_nearest_in_a_cluster_of_near_copies(spark):
+    """The cluster is larger than two blocks and a third of all rows."""
+    rng = np.random.default_rng(4)
+    x = rng.uniform(-1, 1, (99_000, 64))
+    x[::3] = x[0] + rng.normal(0, 1e-5, (33_000, 64))
+    share = recall(spark, x, 1_000)
+    assert share[::3].mean() >= 0.9  # rows divisible by 3 are the cluster
+
+
 def test_nearest_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 0), (1, None, 0), (2, [0.0, 0.0], 0), (3, [nan, 1.0], 0), (4, [inf, 1.0], 0), (5, [1.0, None], 0)]

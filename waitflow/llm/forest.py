@@ -3,17 +3,20 @@
 Every tree hashes a vector to a long string of sign bits and keeps the strings sorted. A query descends to the
 points sharing its longest prefix in each tree and then ascends in all trees at once, one bit at a time, until
 the points reached are enough; those are ranked by their exact cosine.
+
+Points are dealt to blocks by a hash of their id, every block keeps its share of all trees, and every query visits
+every block. So the points under a prefix are those under it in all blocks, however many they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from waitflow.llm.neardup import _groups
@@ -22,7 +25,9 @@ from waitflow.llm.store import stored
 TREES = 32
 BITS = 62
 CANDIDATES = 14_000  # reached over all trees, a point counting once per tree
-BLOCK = 16_384  # points of a sorted run that one task holds
+BLOCK = 16_384  # points of a block that one task holds, on average
+LEAST_BLOCKS = 8
+QUERIES = 4_096  # queries that meet a block at a time, on average
 TOP = 5
 QUERY_STEP = 50
 SEED = 7
@@ -39,34 +44,6 @@ def usable(df: DataFrame, column: str = "embedding") -> DataFrame:
     return df.filter(x.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(x, lambda v: v != 0))
 
 
-def _keyed(points: DataFrame, kind: str, trees: int) -> DataFrame:
-    """One row per tree and point: the sorted key and the vector as bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-        for whole in batches:
-            for at in range(0, len(whole), 512):
-                batch = whole.slice(at, 512)
-                lists = [np.asarray(v, np.float64) for v in batch["embedding"].to_pylist()]
-                rep, asks = batch["rep"].to_numpy(), np.array(batch["is_query"].to_pylist(), bool)
-                dims = np.array([len(v) for v in lists])
-                for dim in np.unique(dims):
-                    own = (dims == dim).nonzero()[0]
-                    x = np.stack([lists[i] for i in own])
-                    raw = pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())
-                    for tree in range(trees):
-                        keys = ((x @ planes(tree, int(dim))) > 0) @ weights
-                        n = len(own)
-                        yield pa.record_batch(
-                            [pa.array(np.full(n, tree, np.int32)), pa.array(np.full(n, dim, np.int32)), pa.array(keys), pa.array(rep[own]), pa.array(asks[own]), raw],
-                            names=["tree", "dim", "key", "rep", "is_query", "vector"],
-                        )
-
-    return points.select("rep", "is_query", "embedding").mapInArrow(
-        run, "tree int, dim int, key long, rep long, is_query boolean, vector binary"
-    )
-
-
 HITS = "rep long, counts array<long>, hits array<struct<level: int, id: long, score: double>>"
 _HITS = pa.schema(
     [
@@ -77,36 +54,64 @@ _HITS = pa.schema(
 )
 
 
-def _search_run(keys: np.ndarray, rep: np.ndarray, asks: np.ndarray, x: np.ndarray, enough: int, top: int) -> list[dict]:
-    """What one sorted run offers to its queries: points per prefix length, and the best ones of each length."""
-    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-    queries = asks.nonzero()[0]
-    spans = []
-    for level in range(BITS + 1):
-        shift = np.int64(BITS - level)
-        low = (keys[queries] >> shift) << shift
-        spans.append((np.searchsorted(keys, low), np.searchsorted(keys, low + (np.int64(1) << shift) - 1, "right")))
-    starts, ends = np.array([s[0] for s in spans]), np.array([s[1] for s in spans])
-    rows = []
-    for first in range(0, len(queries), 64):
-        scores = unit[queries[first : first + 64]] @ unit.T
-        for k, row in enumerate(scores):
-            q, hits = first + k, []
-            done_a = done_b = None
-            for level in range(BITS, -1, -1):
-                a, b = int(starts[level, q]), int(ends[level, q])
-                fresh = [(a, b)] if done_a is None else [(a, done_a), (done_b, b)]
-                for u, v in fresh:
-                    if v > u:
-                        s = row[u:v]
-                        best = np.argpartition(-s, top)[:top] if v - u > top else np.arange(v - u)
-                        hits += [{"level": level, "id": int(rep[u + i]), "score": float(s[i])} for i in best]
-                done_a, done_b = a, b
-                if b - a >= enough:
-                    break  # this run alone is enough: no query ascends further
-            counts = np.minimum(ends[:, q] - starts[:, q], np.int64(1) << 40)
-            rows.append({"rep": int(rep[queries[q]]), "counts": counts.tolist(), "hits": hits})
-    return rows
+class _Block:
+    """The sorted prefix trees over the points of one block."""
+
+    def __init__(self, rep: np.ndarray, x: np.ndarray, trees: int):
+        self.rep, self.unit = rep, _unit(x)
+        self.planes = [planes(tree, x.shape[1]) for tree in range(trees)]
+        self.trees = []
+        for p in self.planes:
+            keys = _keys(x, p)
+            order = np.argsort(keys, kind="stable")
+            self.trees.append((keys[order], order))
+
+    def offers(self, rep: np.ndarray, x: np.ndarray, enough: int, top: int) -> Iterator[dict]:
+        """What the block offers to queries: points per prefix length over all trees, and the best ones of each length.
+
+        A point counts at its longest prefix in any tree. One that `top` points of the same or longer prefixes beat is
+        left out, as these are taken whenever it is.
+        """
+        shifts = BITS - np.arange(BITS + 1, dtype=np.int64)
+        rising = np.arange(BITS + 1, dtype=np.int8)
+        for first in range(0, len(rep), 64):
+            part = x[first : first + 64]
+            scores = _unit(part) @ self.unit.T
+            starts = np.empty((len(self.trees), len(part), BITS + 1), np.int64)
+            ends = np.empty_like(starts)
+            for t, (keys, _) in enumerate(self.trees):
+                low = (_keys(part, self.planes[t])[:, None] >> shifts) << shifts
+                starts[t] = np.searchsorted(keys, low)
+                ends[t] = np.searchsorted(keys, low + (np.int64(1) << shifts) - 1, "right")
+            counts = (ends - starts).sum(axis=0)
+            for q, row in enumerate(scores):
+                stop = max(int((counts[q] >= enough).sum()) - 1, 0)  # this block alone is enough there
+                levels = np.concatenate([rising[stop:], rising[stop:-1][::-1]])
+                level = np.full(len(row), -1, np.int8)
+                for t, (_, order) in enumerate(self.trees):
+                    a, b = starts[t, q, stop:], ends[t, q, stop:]
+                    if b[0] > a[0]:
+                        sizes = np.concatenate([np.diff(a), b[-1:] - a[-1:], -np.diff(b)[::-1]])
+                        own = order[a[0] : b[0]]
+                        level[own] = np.maximum(level[own], np.repeat(levels, sizes))
+                reached = (level >= 0).nonzero()[0]
+                reached = reached[np.argsort(-level[reached], kind="stable")]
+                cuts = np.concatenate([[0], np.diff(level[reached]).nonzero()[0] + 1, [len(reached)]])
+                best, hits = np.empty(0, np.int64), []
+                for u, v in zip(cuts, cuts[1:]):
+                    both = np.concatenate([best, reached[u:v]])
+                    at = np.argpartition(-row[both], top - 1)[:top] if len(both) > top else np.arange(len(both))
+                    hits += [{"level": int(level[i]), "id": int(self.rep[i]), "score": float(row[i])} for i in both[at[at >= len(best)]]]
+                    best = both[at]
+                yield {"rep": int(rep[first + q]), "counts": counts[q].tolist(), "hits": hits}
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def _keys(x: np.ndarray, p: np.ndarray) -> np.ndarray:
+    return ((x @ p) > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
 
 
 def search(
@@ -119,14 +124,13 @@ def search(
     """query_id, rank, vec_id, score: the nearest found of every row whose vec_id is divisible by query_step.
 
     Equal vectors are one point that carries its top + 1 smallest ids, which is all that ties to the smaller id can
-    ask for; queries with equal vectors are searched once. Keys are sorted globally per tree and cut into runs of
-    about BLOCK points, so neither a common vector nor a common prefix gathers in one task.
+    ask for; queries with equal vectors are searched once. Blocks of about BLOCK points are dealt by hash, so neither
+    a common vector nor a common prefix gathers in one task. A block holds its points; queries pass by it in parts.
 
     NULL, zero and non-finite vectors take no part, as do NULL ids; vectors are compared with those of their own
     length; repeated rows count once; if a vec_id has several vectors, their neighbours are pooled. An empty table
     gives no rows.
     """
-    kind = "<f4" if isinstance(table.schema["embedding"].dataType.elementType, T.FloatType) else "<f8"
     rows = usable(table.select("vec_id", "embedding").filter("vec_id IS NOT NULL"))
     ranked = rows.withColumn("_nth", F.dense_rank().over(Window.partitionBy("embedding").orderBy("vec_id")))
     few = ranked.filter(F.col("_nth") <= top + 1).groupBy("embedding").agg(F.sort_array(F.collect_set("vec_id")).alias("ids"))
@@ -137,29 +141,38 @@ def search(
         ),
         "points",
     )
-    n = points.count()
-    runs = max(trees, -(-n * trees // BLOCK))
-    order = ["tree", "dim", "key", "rep"]
-    dealt = _keyed(points, kind, trees).repartitionByRange(runs, *order).sortWithinPartitions(*order)
+    enough = candidates
+    n, n_queries = points.agg(F.count("*"), F.count_if("is_query")).first()
+    blocks, parts = max(LEAST_BLOCKS, -(-n // BLOCK)), max(1, -(-n_queries // QUERIES))
+    vectors = [F.size("embedding").alias("dim"), "rep", "embedding"]
+    # Part 0 is the points of a block, the others are queries.
+    held = points.select(F.pmod(F.xxhash64(F.lit(SEED), "rep"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("part"), *vectors)
+    part = (F.pmod(F.xxhash64("rep"), F.lit(parts)) + 1).cast("int").alias("part")
+    passing = points.filter("is_query").select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), part, *vectors)
+    keys = ["block", "dim", "part"]
+    dealt = held.unionByName(passing).repartition(blocks, "block").sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["tree", "dim"]):
-            dim = group["dim"][0].as_py()
-            x = np.frombuffer(b"".join(group["vector"].to_pylist()), kind).reshape(-1, dim).astype(np.float64)
-            asks = np.array(group["is_query"].to_pylist(), bool)
-            if asks.any():
-                found = _search_run(group["key"].to_numpy(), group["rep"].to_numpy(), asks, x, candidates, top + 1)
-                for i in range(0, len(found), 256):
-                    yield pa.RecordBatch.from_pylist(found[i : i + 256], _HITS)
+        open_block, place = None, None
+        for group in _groups(batches, keys):
+            block, dim, part = (group[k][0].as_py() for k in keys)
+            rep = group["rep"].to_numpy()
+            x = group["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+            if part == 0:
+                open_block, place = _Block(rep, x, trees), (block, dim)
+            elif place == (block, dim):
+                found = open_block.offers(rep, x, enough, top + 1)
+                while some := list(islice(found, 256)):
+                    yield pa.RecordBatch.from_pylist(some, _HITS)
 
     offers = dealt.mapInArrow(run, HITS)
-    # One row per tree and run boundary and query: the lists below are bounded by trees, levels and top.
+    # One row per block and query: a list below holds the blocks times levels and top at most.
     pooled = offers.groupBy("rep").agg(F.collect_list("counts").alias("counts"), F.flatten(F.collect_list("hits")).alias("hits"))
     reached = F.transform(
         F.sequence(F.lit(0), F.lit(BITS)),
         lambda level: F.aggregate("counts", F.lit(0).cast("long"), lambda total, c: total + F.get(c, level)),
     )
-    deep = F.array_max(F.filter(F.sequence(F.lit(0), F.lit(BITS)), lambda level: F.get("reached", level) >= candidates))
+    deep = F.array_max(F.filter(F.sequence(F.lit(0), F.lit(BITS)), lambda level: F.get("reached", level) >= enough))
     levelled = pooled.withColumn("reached", reached).withColumn("stop", F.coalesce(deep, F.lit(0)))
     taken = F.array_distinct(F.transform(F.filter("hits", lambda h: h["level"] >= F.col("stop")), lambda h: h["id"]))
     pairs = levelled.select("rep", F.explode(taken).alias("id"), F.col("hits"))
