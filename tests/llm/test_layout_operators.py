@@ -210,6 +210,11 @@ def test_nearest_in_a_cluster_of_near_copies(spark):
     assert share[::3].mean() >= 0.9  # rows divisible by 3 are the cluster
 
 
+def test_nearest_recall_on_a_large_table(spark):
+    x = np.random.default_rng(9).uniform(-1, 1, (100_000, 64))
+    assert recall(spark, x, 1_000).mean() >= 0.9
+
+
 def test_nearest_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 0), (1, None, 0), (2, [0.0, 0.0], 0), (3, [nan, 1.0], 0), (4, [inf, 1.0], 0), (5, [1.0, None], 0)]

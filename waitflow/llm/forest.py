@@ -10,6 +10,7 @@ every block. So the points under a prefix are those under it in all blocks, howe
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import islice
 
@@ -24,7 +25,8 @@ from waitflow.llm.store import stored
 
 TREES = 32
 BITS = 62
-CANDIDATES = 14_000  # reached over all trees, a point counting once per tree
+CANDIDATES = 14_000  # reached over all trees at least, a point counting once per tree
+SHARE = 0.4  # of all points, where that is more: a fixed number loses neighbours as the table grows
 BLOCK = 16_384  # points of a block that one task holds, on average
 LEAST_BLOCKS = 8
 QUERIES = 4_096  # queries that meet a block at a time, on average
@@ -141,8 +143,8 @@ def search(
         ),
         "points",
     )
-    enough = candidates
     n, n_queries = points.agg(F.count("*"), F.count_if("is_query")).first()
+    enough = max(candidates, math.ceil(SHARE * n))
     blocks, parts = max(LEAST_BLOCKS, -(-n // BLOCK)), max(1, -(-n_queries // QUERIES))
     vectors = [F.size("embedding").alias("dim"), "rep", "embedding"]
     # Part 0 is the points of a block, the others are queries.
