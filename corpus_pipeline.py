@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item, also with other numbers, names or units."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    dirty = decontam.leaks(docs, benchmark).select(F.col("doc_id").alias("_id"))
+    dirty = decontam.hits(docs, benchmark).select(F.col("doc_id").alias("_id"))
     return docs.join(dirty, docs["doc_id"] == dirty["_id"], "left_anti")
 
 

@@ -329,6 +329,21 @@ def test_decontamination_equals_brute_force(spark):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
 
 
+def test_decontamination_finds_words_without_a_template(spark):
+    dense = "On 12 May 2019 Anna Bob 7 km 3"  # 10 words
+    tail = [f"word{i}" for i in range(59)]
+    items = ["What is 12 plus 7?", "What is 17 km?", "1914 1918 1939 1945", dense, "Berlin", " ".join(tail)]
+    texts = [f"so then. {x} and on" for x in items[:5]]
+    texts += [" ".join(["before", *tail[20:49], "after"]), "What is 13 plus 8? What is 18 km? 1914 1918 1939 1946"]
+    texts += [" ".join(["before", *tail[20:32], "after"])]  # one word short of a run
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = docs(spark, list(enumerate(texts)))
+    got = {(r.doc_id, r.item_id): r.share for r in decontam.hits(rows, bench).collect()}
+    assert got.keys() == {(i, i) for i in range(6)} and got[(5, 5)] == pytest.approx(29 / 59)
+    assert all(got[(i, i)] == 1.0 for i in range(5))
+    assert {r.doc_id for r in decontam.decontaminate(rows, bench).filter("contaminated").collect()} == set(range(6))
+
+
 def test_decontamination_odd_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     odd = with_clashes(docs(spark, ODD))

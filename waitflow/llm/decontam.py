@@ -5,6 +5,9 @@ template. Windows of template words are hash-joined with those of the benchmark,
 (document position minus item position) are put together, and the values behind the placeholders are compared: a
 value that stands twice in the item must stand for the same value both times in the document, or else the windows
 that hold it do not count.
+
+Where a window has too few plain words to be told by its template, its words themselves are compared, and a long run
+of an item's own words is a hit whatever its share of the item.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from waitflow.llm.store import stored
 WIDTH = 8  # words of a window; an item with fewer words is one window of its own length
 PLAIN = 4  # words of a full window that must be no placeholders
 COVER = 0.5  # share of an item's words that must lie in matched windows
+RUN = 13  # running words of an item that are a hit alone
 FILTER_BITS = 24
 
 # Unit words, recognised after a number.
@@ -127,6 +131,36 @@ def windows(code: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray,
     return at, mix(h[at])
 
 
+def exact_windows(value: np.ndarray, slot: np.ndarray, width: int, most_plain: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, hash) of the windows of word values with at most some plain words."""
+    if len(value) < width:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    sums = np.concatenate([[0], np.cumsum(~slot)])
+    at = (sums[width:] - sums[:-width] <= most_plain).nonzero()[0]
+    h = np.full(len(at), width + 1000, np.uint64)
+    for i in range(width):
+        h = h * _Q + value[at + i]
+    return at, mix(h)
+
+
+def item_windows(code: np.ndarray, value: np.ndarray, slot: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(width, positions, hashes) of an item; the width of windows of word values is negative."""
+    width = min(WIDTH, len(code))
+    if width:
+        yield width, *windows(code, slot, width)
+        yield -width, *exact_windows(value, slot, width, min(PLAIN, width) - 1)
+        yield -RUN, *exact_windows(value, slot, RUN, RUN)
+
+
+def doc_windows(code: np.ndarray, value: np.ndarray, slot: np.ndarray, widths: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The same of a document. A word may be plain here and none in the item, as that hangs on the words before it."""
+    for width in widths:
+        if width > 0:
+            yield width, *windows(code, slot, width)
+        else:
+            yield width, *exact_windows(value, slot, -width, RUN if width == -RUN else PLAIN + 2)
+
+
 SCHEMA = "id long, n_words int, width int, position int, window long, item_values array<long>, slots array<boolean>"
 
 
@@ -135,8 +169,7 @@ def _rows(ids: list, texts: list, widths: list[int] | None, bits: np.ndarray | N
     out: dict[str, list] = {k: [] for k in ("id", "n_words", "width", "position", "window", "item_values", "slots")}
     for i, text in zip(ids, texts):
         code, value, slot = template(text or "")
-        for width in widths if widths is not None else [min(WIDTH, len(code))] if len(code) else []:
-            at, h = windows(code, slot, width)
+        for width, at, h in item_windows(code, value, slot) if widths is None else doc_windows(code, value, slot, widths):
             if bits is not None and len(h):
                 k = h >> np.uint64(64 - FILTER_BITS)
                 maybe = (bits[(k >> np.uint64(3)).astype(np.int64)] >> (k & np.uint64(7)).astype(np.uint8)) & 1 == 1
@@ -148,8 +181,9 @@ def _rows(ids: list, texts: list, widths: list[int] | None, bits: np.ndarray | N
                 out["width"].append(width)
                 out["position"].append(p)
                 out["window"].append(x)
-                out["item_values"].append(signed[p : p + width])
-                out["slots"].append(slot[p : p + width])
+                end = p + width if width > 0 else p  # equal words leave nothing to compare
+                out["item_values"].append(signed[p:end])
+                out["slots"].append(slot[p:end])
     types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_())]
     return pa.record_batch([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
 
@@ -163,18 +197,35 @@ def _window_frame(df: DataFrame, key: str, widths: list[int] | None, bits: np.nd
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
-    """(doc_id, item_id, covered share) for every document that holds at least `cover` of an item's words.
+    """(doc_id, item_id, covered share) for every document that holds at least `cover` of an item's words in templates.
+
+    Only windows with enough plain words are compared; hits() adds the others.
+    """
+    return _found(docs, benchmark, cover, False)
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
+    """leaks(), also of words in windows that are no templates, and with every document that holds RUN running words.
+
+    An item with fewer words than a window and too few plain ones is found by its words only. The share of a run may
+    be below `cover`.
+    """
+    return _found(docs, benchmark, cover, True)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, cover: float, exact: bool) -> DataFrame:
+    """What leaks() and hits() return.
 
     Before the join, windows of documents are looked up in a bit set of 2 ** 24 slots that is filled from the
     benchmark; its size of 2 MB does not grow. What passes is joined by the window's hash.
     """
-    items = stored(_window_frame(benchmark, "item_id", None, None), "items")
+    items = stored(_window_frame(benchmark, "item_id", None, None).filter(F.lit(exact) | (F.col("width") > 0)), "items")
     slots = items.select((F.shiftrightunsigned("window", 64 - FILTER_BITS)).cast("int").alias("slot")).distinct()
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for batch in slots.toArrow().to_batches():  # at most 2 ** 24 numbers
         k = batch["slot"].to_numpy()
         np.bitwise_or.at(bits, k >> 3, (1 << (k & 7)).astype(np.uint8))
-    widths = [r.width for r in items.select("width").distinct().collect()]  # at most WIDTH numbers
+    widths = [r.width for r in items.select("width").distinct().collect()]  # at most 2 * WIDTH + 1 numbers
     if not widths:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, share double")
     shared = docs.sparkSession.sparkContext.broadcast(bits)
@@ -205,11 +256,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFr
     )
     torn = "filter(pairs.item_values, v -> size(filter(pairs.item_values, w -> w = v)) > 1)"
     kept = "filter(found, f -> NOT arrays_overlap(f.pairs.item_values, torn))"
-    words = "flatten(transform(kept, f -> sequence(f.position, f.position + f.width - 1)))"
+    words = "flatten(transform(kept, f -> sequence(f.position, f.position + abs(f.width) - 1)))"
     good = lines.withColumn("torn", F.expr(torn)).withColumn("kept", F.expr(kept)).withColumn("words", F.expr(words))
-    covered = good.groupBy("doc_id", "item_id", "n_words").agg(F.size(F.array_distinct(F.flatten(F.collect_set("words")))).alias("n"))
+    covered = good.groupBy("doc_id", "item_id", "n_words").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("words")))).alias("n"),
+        F.bool_or(F.exists("kept", lambda f: f["width"] == -RUN)).alias("run"),
+    )
     share = F.col("n") / F.col("n_words")
-    return covered.filter((F.col("n") > 0) & (share >= cover)).select("doc_id", "item_id", share.alias("share"))
+    return covered.filter((F.col("n") > 0) & (F.col("run") | (share >= cover))).select("doc_id", "item_id", share.alias("share"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
@@ -218,8 +272,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -
     A NULL or empty text is clean, as is everything against an empty benchmark; NULL and empty items are ignored;
     repeated rows are all returned; rows without a doc_id are returned as clean. Other columns are not read.
     """
-    hits = leaks(docs, benchmark, cover).filter("doc_id IS NOT NULL")
-    by_doc = hits.groupBy("doc_id").agg(
+    dirty = hits(docs, benchmark, cover).filter("doc_id IS NOT NULL")
+    by_doc = dirty.groupBy("doc_id").agg(
         F.count_distinct("item_id").alias("n_items"), F.min(F.struct(-F.col("share"), F.col("item_id"))).getField("item_id").alias("best_item")
     )
     joined = docs.select(F.col("doc_id").cast("long")).join(by_doc, "doc_id", "left")
