@@ -80,6 +80,17 @@ def test_pii_context_and_checksums():
     assert kinds(PII_TEXTS[7])[-1] == "secret" and kinds("908038b7daaf91e730d2f64001c52934d43d9336") == []
 
 
+@pytest.mark.parametrize(
+    "after", [" BIC WESTGB22", " 2024-05-01", " A payment", " GB82 WEST 1234 5698 7654 32", " paid", "", ". PAID", " 12 AB"]
+)
+def test_pii_iban_before_other_tokens(after):
+    for iban in ("GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432"):
+        for before in ("", "AB12 CDEF 1234 ", "REF 77 "):
+            text = f"{before}{iban}{after}"
+            found = [text[s.start : s.end] for s in pii.find_spans(text) if s.kind == "iban"]
+            assert found == [iban] + [after[1:]] * ("GB82" in after), text
+
+
 def test_pii_odd_rows(spark):
     got = pii.digest(with_clashes(docs(spark, ODD))).collect()
     assert len(got) == len(ODD) and all(r.spans == "" and r.n_email == 0 for r in got)

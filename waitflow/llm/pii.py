@@ -22,6 +22,19 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){11,}+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_TOKEN_END = re.compile(r"[A-Z0-9](?![A-Za-z0-9])")
+# Characters of an IBAN per country.
+IBAN_LENGTH = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+=*")
 _DIGIT = re.compile("[0-9]")
@@ -77,6 +90,29 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
             yield start, done
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that mod-97 confirms, cut where the country's length ends, or else at the last token end that fits.
+
+    Upper-case tokens and numbers after an IBAN are proposed with it, so every token end is a possible end. A start
+    that fails does not use up the text after it.
+    """
+    at = 0
+    while head := _IBAN_HEAD.search(text, at):
+        start, at = head.start(), head.end()
+        m = _IBAN.match(text, start)
+        if not m:
+            continue
+        ends = {len(text[start : e.end()].replace(" ", "")): e.end() for e in _TOKEN_END.finditer(text, start, m.end())}
+        # The whole proposal is tried last, also where its length is not the country's.
+        named = IBAN_LENGTH.get(head[0][:2])
+        tried = [n for n in sorted(ends, reverse=True) if 15 <= n <= 34]
+        for n in tried if named is None else [n for n in tried if n == named] + tried[:1]:
+            if mod97(text[start : ends[n]].replace(" ", "")):
+                at = ends[n]
+                yield start, at
+                break
+
+
 def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
     if "@" in text:
         for a, b in _emails(text):
@@ -94,10 +130,8 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int]]:
         for m in _PHONE.finditer(text):
             if 9 <= sum(c in "0123456789" for c in m[0]) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in _IBAN.finditer(text):
-        plain = m[0].replace(" ", "")
-        if 15 <= len(plain) <= 34 and mod97(plain):
-            yield "iban", m.start(), m.end()
+    for start, end in _ibans(text):
+        yield "iban", start, end
     if "-" in text:
         for m in _SSN.finditer(text):
             area, group, serial = m[0].split("-")
