@@ -22,9 +22,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of every group of near duplicates, once."""
+    """Keeps the document with the smallest doc_id of every group of near duplicates, once.
+
+    Rows without a doc_id take no part and are all kept; of rows that share a doc_id, only those with equal texts are
+    repeats.
+    """
     found = neardup.near_duplicates(docs)
-    return _keep(docs, found.filter("kept")).dropDuplicates(["doc_id"])
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    kept = _keep(docs, found.filter("kept")).withColumn("_alone", alone)
+    return kept.dropDuplicates(["doc_id", "text", "_alone"]).drop("_alone")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -291,3 +291,10 @@ def test_stages_keep_columns_and_stand_odd_rows(spark, tmp_path):
 def test_rejected_language_is_dropped(spark):
     kept = corpus_pipeline.language(spark, docs(spark, [(1, "12 !"), (2, "ein Wort")]), SMALL)
     assert [r.doc_id for r in kept.collect()] == [2] and langid.UNKNOWN == "und"
+
+
+def test_pipeline_keeps_rows_that_only_share_an_id(spark):
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(40))
+    rows = [(None, text(1)), (None, text(2)), (None, text(2)), (7, text(3)), (7, text(4)), (8, text(5)), (8, text(5)), (9, text(5))]
+    got = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.near_duplicates(spark, docs(spark, rows), SMALL).collect())
+    assert got == sorted([(0, text(1)), (0, text(2)), (0, text(2)), (7, text(3)), (7, text(4)), (8, text(5))])
