@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waitflow.llm import decontam, forest, langid, mixlm, mixture, neardup, pii, shards, tokenfile, urlrules
+from waitflow.llm import decontam, divergence, fim, forest, langid, mixlm, mixture, neardup, pii, shards, tokenfile, toxicity, urlrules
 from waitflow.llm.store import new_path
 
 
@@ -56,6 +56,18 @@ def op10_url_rules(spark: SparkSession, d: str) -> DataFrame:
     return urlrules.judge(_read(spark, d, "pages"))
 
 
+def op11_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    return fim.digest(_read(spark, d, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.audit(_read(spark, d, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score(_read(spark, d, "documents"), _read(spark, d, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -69,10 +81,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mix_sources,
         op9_nearest,
         op10_url_rules,
+        op11_fill_in_middle,
+        op12_source_divergence,
+        op13_toxicity,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op8_mix_sources": mixture.mix_plan_sql(),
     "op10_url_rules": urlrules.judge_sql(),
+    "op11_fill_in_middle": fim.digest_sql(),
+    "op12_source_divergence": divergence.audit_sql(),
 }
