@@ -1,10 +1,12 @@
 """Token files, shards, mixing, nearest neighbours, URL rules and the pipeline."""
 
+import random
 import re
 import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -87,6 +89,22 @@ def test_token_files_odd_rows(spark, tmp_path):
     assert tokenfile.checksums(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_pieces_of_odd_texts_are_encoded_as_the_library_does(monkeypatch):
+    rng, tok = random.Random(3), encoder()
+    letters = "aB c'.,<|>9_-\n\t\r\x0b\x0c\xa0é\u0301ßİÅK…²٣漢!&%$*\"@#(){}’\u200b"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    texts += ["x <|endoftext|> A", "<|ENDOFTEXT|>'LL", "a<|startoftext|>b'S don't I'VE 'tis .'s 's's", "", "   ", "d.d'd d'.d 5's s'5 a1b2.c3"]
+    texts += ["y" * 5000 + "!" * 300, "漢字" * 800]
+    for memory in (tokenfile.MEMO_BYTES, 0):
+        monkeypatch.setattr(tokenfile, "MEMO_BYTES", memory)
+        for low in range(0, len(texts), 500):
+            part = texts[low : low + 500]
+            ids, counts = tokenfile.encode_texts(pa.array([t.encode() for t in part], pa.binary())[1:])
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            for text, a, b in zip(part[1:], ends, ends[1:]):
+                assert ids[a:b].tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
 def test_words_are_encoded_as_in_the_text():
     tok = encoder()
     samples = ["It's a test, isn't it?! 3.14 ... don't", "a\u0301 é \u212b \u1e9b\u0323 ΟΔΟΣ Σ", "tab\tand\r\nbreak\x0b\x0c\x1c\x1dx\x85y", "<|endoftext|><|startoftext|> <|endoftext|>x", "  "]

@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
-MEMO = 1_000_000  # words remembered per Python worker, about 150 MB; a memory, not a limit of what is encoded
+MEMO_BYTES = 80 << 20  # pieces and ids remembered per Python worker; a memory, not a limit of what is encoded
+MEMO_WORD = 64  # longer pieces are encoded anew wherever they stand
+SLICE = 2 << 20  # bytes of text that are encoded at once
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 
@@ -34,39 +36,137 @@ WRITE_OPTIONS = {
     **{f"parquet.enable.dictionary#{c}": "false" for c in ("doc_id", "part", "local_start", "n_tokens")},
 }
 
-_memos: dict[str, "_Words"] = {}
+_BLANKS = bytes(0x20 if b in b"\n\t\r" else b for b in range(256))
+_LOWERED = _BLANKS.lower()
+# Kinds of bytes: 0 blank, 1 letter, 2 digit or sign, 3 whatever may belong to more than one kind of piece.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[0x20] = 0
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_KIND[[b for b in range(0x21, 0x7F) if _KIND[b] == 3 and chr(b) not in "'<|>"]] = 2
+LOT = 20_000  # pieces that the library encodes at once
 
+_memos: dict[str, "_Pieces"] = {}
 
-class _Words(dict):
-    """Word -> its ids as little-endian bytes.
 
-    The tokenizer cuts at white space before anything else and no token spans it, so the ids of a text are the
-    ids of its words one after the other; each word is encoded by the library once.
+class _Pieces:
+    """Ids of pieces of text, remembered; the library encodes a piece when it is first met.
+
+    The tokenizer folds case, cuts at white space, and cuts between a letter and a digit or sign before it looks for
+    tokens, so the ids of a text are the ids of such pieces one after the other. A slice of text that holds one of the
+    tokenizer's special strings in any case is cut at white space only and keeps its case.
     """
 
     def __init__(self, path: str):
-        super().__init__({"": b""})
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.bytes = 0
+        self.starts, self.ids = np.zeros(1, np.int64), np.empty(0, np.int32)
+
+    def cut(self, raw: bytes, text_starts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """Pieces of texts that lie one behind the other, and where each begins."""
+        lowered = raw.translate(_LOWERED)
+        plain = any(t in lowered for t in self.special)
+        data = np.frombuffer(raw.translate(_BLANKS) if plain else lowered, np.uint8)
+        kind = np.concatenate([[0], _KIND[data]])
+        before, own = kind[:-1], kind[1:]
+        begins = (own != 0) & (before == 0)
+        if not plain:
+            begins |= (own ^ before) == 3  # 1 beside 2, or a blank beside 3
+        begins[text_starts[text_starts < len(data)]] = True
+        begins &= own != 0
+        inside = own != 0
+        starts = np.flatnonzero(begins)
+        offsets = np.append(np.cumsum(inside, dtype=np.int32)[starts] - 1, inside.sum()).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[inside].tobytes())]
+        return pa.Array.from_buffers(pa.binary(), len(starts), buffers), starts
+
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after the other, and where those of each piece begin (and the last one's end)."""
+        if self.bytes > MEMO_BYTES:
+            self.clear()
+        at = np.fromiter((self.places.get(w, -1) for w in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(at < 0)
+        fresh, found = [pieces[i] for i in new], []
+        for low in range(0, len(fresh), LOT):
+            texts = [w.decode(errors="replace") for w in fresh[low : low + LOT]]
+            found += [np.asarray(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        at[new] = len(self.starts) - 1 + np.arange(len(new))
+        starts, flat = self._with(found)
+        lengths = starts[at + 1] - starts[at]
+        ids = _gathered(flat, starts[at], lengths)
+        kept = [(w, x) for w, x in zip(fresh, found) if len(w) <= MEMO_WORD]
+        self.places.update((w, len(self.starts) - 1 + i) for i, (w, _) in enumerate(kept))
+        self.starts, self.ids = self._with([x for _, x in kept])
+        self.bytes += sum(150 + len(w) + x.nbytes for w, x in kept)
+        return ids, np.concatenate([[0], np.cumsum(lengths)])
+
+    def _with(self, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ids of what is remembered, with further pieces behind."""
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)]), np.concatenate([self.ids, *found])
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """flat[start : start + length] of every pair, one after the other."""
+    ends = np.cumsum(lengths)
+    at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int64)
+    return flat[at + np.repeat(starts - (ends - lengths), lengths)]
+
+
+def _pieces(path: str) -> "_Pieces":
+    if path not in _memos:
+        _memos[path] = _Pieces(path)
+    return _memos[path]
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) < MEMO:
-            self[word] = ids
-        return ids
 
+def _bytes_of(values: pa.Array) -> list[bytes]:
+    """to_pylist() of binary values without NULLs, by slices of their buffer."""
+    ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1].tolist()
+    data = values.buffers()[2].to_pybytes() if len(values) else b""
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
 
-def _words(path: str) -> "_Words":
-    if path not in _memos:
-        _memos[path] = _Words(path)
-    return _memos[path]
+
+def encode_texts(texts: pa.Array, path: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of whole texts (UTF-8 bytes, none NULL) one after the other, and how many each text has.
+
+    Different pieces of the texts are found first, so that only these are looked up or encoded.
+    """
+    if not len(texts):
+        return np.empty(0, np.int32), np.empty(0, np.int64)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    low, high = int(offsets[0]), int(offsets[-1])
+    raw = texts.buffers()[2].slice(low, high - low).to_pybytes() if high > low else b""
+    known = _pieces(path)
+    pieces, at = known.cut(raw, offsets[:-1] - low)
+    coded = pieces.dictionary_encode()
+    ids, starts = known.encode(_bytes_of(coded.dictionary))
+    own = coded.indices.to_numpy()
+    lengths = np.diff(starts)[own]
+    before = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(at, offsets - low)]
+    return _gathered(ids, starts[own], lengths), np.diff(before)
 
 
 def encode_text(text: str, path: str = TOKENIZER) -> bytes:
     """Ids of a whole text as little-endian unsigned 32-bit integers."""
-    words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-    return b"".join(map(_words(path).__getitem__, words))
+    return encode_texts(pa.array([text.encode()], pa.binary()), path)[0].astype("<u4").tobytes()
+
+
+def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about SLICE bytes; a longer text is one of its own."""
+    low, room = 0, 0
+    for i, size in enumerate(sizes):
+        if i > low and room + size > SLICE:
+            yield low, i
+            low, room = i, 0
+        room += size
+    if len(sizes) > low:
+        yield low, len(sizes)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> None:
@@ -74,26 +174,26 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
 
     Repeated doc_ids are all written, ordered by checksum of the text; a NULL doc_id comes first.
     """
-    end = np.asarray([end_id], "<u4").tobytes()
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids = [encode_text(t or "", tokenizer) + end for t in batch["text"].to_pylist()]
-            sizes = np.fromiter((len(b) // 4 for b in ids), np.int64, len(ids))
-            ends = np.cumsum(sizes)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            )
-            yield pa.record_batch(
-                [batch["doc_id"], pa.array(np.full(len(ids), part, np.int32)), pa.array(start + ends - sizes), pa.array(sizes), lists],
-                names=["doc_id", "part", "local_start", "n_tokens", "tokens"],
-            )
-            start += int(ends[-1]) if len(ends) else 0
+        for whole in batches:
+            sizes = np.diff(np.frombuffer(whole["text"].buffers()[1], np.int32)[whole["text"].offset :][: whole.num_rows + 1])
+            for low, high in _slices(sizes):
+                batch = whole.slice(low, high - low)
+                ids, counts = encode_texts(batch["text"], tokenizer)
+                ends = np.cumsum(counts + 1)
+                tokens = np.insert(ids, np.cumsum(counts), end_id)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(tokens))
+                yield pa.record_batch(
+                    [batch["doc_id"], pa.array(np.full(len(ends), part, np.int32)), pa.array(start + ends - counts - 1), pa.array(counts + 1), lists],
+                    names=["doc_id", "part", "local_start", "n_tokens", "tokens"],
+                )
+                start += int(ends[-1])
 
     order = [F.asc_nulls_first("doc_id"), F.asc("_crc")]
     slim = docs.select(F.col("doc_id").cast("long"), "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("_crc"))
-    dealt = slim.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
+    dealt = slim.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", text)
     dealt.mapInArrow(encode, FILE_SCHEMA).write.options(**WRITE_OPTIONS).parquet(path)
 
 
