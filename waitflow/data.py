@@ -24,8 +24,8 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.directory, name)
 
-    def rows(self, specialty: bool = True) -> DataFrame:
-        return P.pathways(self.spark, self.directory, specialty)
+    def rows(self, specialty: bool = True, start: str | None = None, end: str | None = None) -> DataFrame:
+        return P.pathways(self.spark, self.directory, specialty, start, end)
 
     def label(self, df: DataFrame) -> DataFrame:
         """Provider, region and (where the code is there) specialty labels."""
@@ -77,7 +77,9 @@ class Data:
 
     # Dimensions.
     def dim_date(self) -> DataFrame:
-        return dims.standard_dim_date(self.spark)
+        """The standard calendar, prolonged to the months of the orders where these lie outside."""
+        month = P.period_of(F.to_date("o_orderdate"))
+        return dims.dim_date(dims.calendar_with(self.table("orders").select(month.alias("period_date"))))
 
     def dim_wait_band(self) -> DataFrame:
         return dims.dim_wait_band(self.spark)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from waitflow import schemas as S
+from waitflow import stored_oracle
 
 
 def _fy(d: str) -> str:
@@ -433,10 +434,13 @@ _SQL: dict[str, str] = {
                'Incomplete-Provider-' || provider_org_code || '-' || strftime(period_date, '%b%y') || '.csv'
                    AS source_file
         FROM labelled_silver""",
-    "ingest_rejects": """
-        SELECT file_name, status
-        FROM (VALUES ('NOPERIOD', 'no period'), ('NOHEADER', 'no header'), ('NOROWS', 'no rows')) AS t(n, status),
-             LATERAL (SELECT 'Incomplete-Provider-' || n || '.csv' AS file_name)""",
+    "ingest_rejects": f"""
+        SELECT 'Incomplete-Provider-' || provider_org_code || '-' || strftime(period_date, '%b%y') || '-copy.csv'
+                   AS file_name,
+               CASE year(period_date) % 4 WHEN 0 THEN 'no period' WHEN 2 THEN 'no rows' ELSE 'no header' END AS status
+        FROM (SELECT DISTINCT period_date, provider_org_code FROM incomplete)
+             JOIN (SELECT s_suppkey, {_CODE.format('s_suppkey')} AS provider_org_code FROM supplier) USING (provider_org_code)
+        WHERE (s_suppkey + month(period_date)) % 12 = 0""",
     "load_batch_incomplete": f"""
         SELECT 'incomplete_2021/22' AS load_batch_id, period_date, COUNT(*) AS n_rows,
                {_big('total_waiting')} AS total_waiting
@@ -900,4 +904,4 @@ def _complete(sql: str) -> str:
     return head + ",\n" + own[len("WITH ") :]
 
 
-ORACLES = {name: _complete(sql) for name, sql in _SQL.items()}
+ORACLES = {name: _complete(sql) for name, sql in {**_SQL, **stored_oracle.SQL}.items()}

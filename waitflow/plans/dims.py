@@ -34,6 +34,13 @@ def standard_dim_date(
     return dim_date(calendar.months(spark, start, end))
 
 
+def calendar_with(df: DataFrame, column: str = "period_date", start: str = S.CALENDAR_START, end: str = S.CALENDAR_END) -> DataFrame:
+    """Every month of the standard calendar, and on to the first and last month of a frame."""
+    ends = df.agg(F.min(column).alias("a"), F.max(column).alias("b"))
+    first, last = F.least(F.lit(start).cast("date"), F.col("a")), F.greatest(F.lit(end).cast("date"), F.col("b"))
+    return ends.select(F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("full_date"))
+
+
 def months_between_extremes(df: DataFrame, column: str = "period_date") -> DataFrame:
     """Every month from the first to the last one present, gaps included."""
     ends = df.agg(F.min(column).alias("a"), F.max(column).alias("b"))

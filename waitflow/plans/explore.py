@@ -34,6 +34,12 @@ def slice_by(
     return df
 
 
+def month_bounds(financial_years: list[str]) -> tuple[str, str]:
+    """First and last month of a choice of financial years ('2021/22'); years between them may be left out."""
+    starts = sorted(int(y[:4]) for y in financial_years)
+    return f"{starts[0]}-04-01", f"{starts[-1] + 1}-03-01"
+
+
 def region_year_matrix(summary: DataFrame, years: list[str]) -> DataFrame:
     """Region rows, one column per year and rate. The years are the columns of the result, so they are given."""
     grouped = (

@@ -1,13 +1,12 @@
 """Fact frames at month x provider x specialty grain, built from pathway rows or from loaded facts.
 
-Rows are combined to one cell per key and wait week first (map-side, so a hot key costs one row per task and
-week). Medians and 92nd percentiles are then read off the running counts of at most 53 weeks per key, which
-needs neither per-key objects nor a sort of the rows.
+Every fact is one aggregate. The state of a percentile holds a count for each of at most 53 wait weeks, and tasks
+combine their rows before the shuffle, so a hot key costs one small row per task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitflow import schemas as S
@@ -28,71 +27,37 @@ def band_sums(condition: str = "true") -> list[Column]:
     ]
 
 
-def week_cells(rows: DataFrame, grain: list[str]) -> DataFrame:
-    """Patients and row counts per key and wait week."""
-    return rows.groupBy(*grain, "wait_week").agg(F.sum("patients").alias("patients"), F.count(F.lit(1)).alias("n"))
+def _quantiles(condition: str = "true") -> Column:
+    """Median and 92nd percentile of the waits under a condition; NULL where there are none."""
+    places = ", ".join(f"{q}D" for q in QUANTILES.values())
+    return F.expr(f"percentile(CASE WHEN {condition} THEN wait_week END, array({places}))")
 
 
-def _running(cells: DataFrame, grain: list[str], classes: dict[str, str]) -> DataFrame:
-    """Running and total row counts per key for each class of rows."""
-    upto = Window.partitionBy(*grain).orderBy("wait_week")
-    whole = Window.partitionBy(*grain)
-    counts = {c: F.expr(f"CASE WHEN {condition} THEN n ELSE 0L END") for c, condition in classes.items()}
-    return cells.withColumns(
-        {f"{c}_upto": F.sum(n).over(upto) for c, n in counts.items()}
-        | {f"{c}_total": F.sum(n).over(whole) for c, n in counts.items()}
-    )
+def _quantile(found: str, name: str) -> Column:
+    return steady(F.col(found)[list(QUANTILES).index(name)])
 
 
-def _bounds(classes: dict[str, str]) -> list[Column]:
-    """Weeks below and above each quantile position, and the totals, per key."""
-    found = []
-    for c in classes:
-        found.append(F.max(f"{c}_total").alias(f"{c}_total"))
-        for name, q in QUANTILES.items():
-            for side, f in (("low", "floor"), ("high", "ceil")):
-                place = f"{f}({q}D * ({c}_total - 1))"
-                found.append(
-                    F.expr(f"min(CASE WHEN {c}_total > 0 AND {c}_upto > {place} THEN wait_week END)").alias(
-                        f"{c}_{name}_{side}"
-                    )
-                )
-    return found
+_WAITS = {"median_wait_weeks": "median", "percentile_92_wait_weeks": "p92"}
 
 
-def _quantile(c: str, name: str) -> Column:
-    """Linear interpolation between the two bounding weeks; NULL for an empty class."""
-    place = F.expr(f"{QUANTILES[name]}D * ({c}_total - 1)")
-    low, high = F.col(f"{c}_{name}_low"), F.col(f"{c}_{name}_high")
-    return steady(low + (high - low) * (place - F.floor(place)))
+def _with_waits(grouped: DataFrame, kept: list[str]) -> DataFrame:
+    return grouped.select(*kept, *[_quantile("_waits", q).alias(n) for n, q in _WAITS.items()])
 
 
 def incomplete(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
     """Patients still waiting: 12 bands, the total, median and 92nd percentile."""
-    classes = {"all": "true"}
-    cells = _running(week_cells(rows.filter("is_open"), grain), grain, classes)
-    found = cells.groupBy(*grain).agg(*band_sums(), F.sum("patients").alias("total_waiting"), *_bounds(classes))
-    return found.select(
-        *grain,
-        *S.BAND_COLUMNS,
-        "total_waiting",
-        _quantile("all", "median").alias("median_wait_weeks"),
-        _quantile("all", "p92").alias("percentile_92_wait_weeks"),
-    )
+    total = F.sum("patients").alias("total_waiting")
+    found = rows.filter("is_open").groupBy(*grain).agg(*band_sums(), total, _quantiles().alias("_waits"))
+    return _with_waits(found, [*grain, *S.BAND_COLUMNS, "total_waiting"])
 
 
 def completed(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
     """Treated patients per pathway: total, median and 92nd percentile."""
     pathway = F.when(F.col("is_admitted"), S.ADMITTED).otherwise(S.NON_ADMITTED)
-    key, classes = [*grain, "pathway_type"], {"all": "true"}
-    cells = _running(week_cells(rows.filter("is_done").withColumn("pathway_type", pathway), key), key, classes)
-    found = cells.groupBy(*key).agg(F.sum("patients").alias("total_completed"), *_bounds(classes))
-    return found.select(
-        *key,
-        "total_completed",
-        _quantile("all", "median").alias("median_wait_weeks"),
-        _quantile("all", "p92").alias("percentile_92_wait_weeks"),
-    )
+    key = [*grain, "pathway_type"]
+    done = rows.filter("is_done").withColumn("pathway_type", pathway).groupBy(*key)
+    found = done.agg(F.sum("patients").alias("total_completed"), _quantiles().alias("_waits"))
+    return _with_waits(found, [*key, "total_completed"])
 
 
 def new_periods(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
@@ -101,41 +66,39 @@ def new_periods(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
 
 
 _CLASSES = {"waiting": "is_open", "admitted": "is_done AND is_admitted", "other": "is_done AND NOT is_admitted"}
-_STATE = ["is_open", "is_done", "is_admitted"]
 
 
-def _activity_sums(n: str) -> list[Column]:
+def _activity_sums() -> list[Column]:
     return [
-        F.expr(f"coalesce(sum(CASE WHEN is_open THEN {n} END), 0L) AS n_incomplete"),
+        F.expr("count(CASE WHEN is_open THEN 1 END) AS n_incomplete"),
         _patients("is_open").alias("total_waiting"),
         _patients(f"is_open AND wait_week >= {S.BREACH_WEEK}").alias("waiting_over_18wks"),
         _patients(f"is_open AND wait_week >= {S.LONG_WEEK}").alias("waiting_over_52wks"),
-        F.expr(f"coalesce(sum(CASE WHEN is_done THEN {n} END), 0L) AS n_completed"),
+        F.expr("count(CASE WHEN is_done THEN 1 END) AS n_completed"),
         _patients("is_done AND is_admitted").alias("completed_admitted"),
         _patients("is_done AND NOT is_admitted").alias("completed_non_admitted"),
         _patients("is_done").alias("total_completed"),
-        F.expr(f"sum({n}) AS n_new"),
-        F.expr(f"sum({n}) AS new_rtt_periods"),
+        F.expr("count(1) AS n_new"),
+        F.expr("count(1) AS new_rtt_periods"),
     ]
 
 
 def activity(rows: DataFrame, grain: list[str] = GRAIN, waits: bool = False) -> DataFrame:
     """All three facts side by side from one scan; nothing is joined, so nothing can fan out.
 
-    Without waits one shuffle does it, and Catalyst drops the sums a query does not use. With waits the week
-    cells come first, and the medians and percentiles of each class of rows are added.
+    One shuffle does it, and Catalyst drops the sums a query does not use. With waits the medians and percentiles of
+    each class of rows are added.
     """
     if not waits:
-        return rows.groupBy(*grain).agg(*_activity_sums("1L"))
-    cells = _running(week_cells(rows, [*grain, *_STATE]), grain, _CLASSES)
-    found = cells.groupBy(*grain).agg(*_activity_sums("n"), *_bounds(_CLASSES))
+        return rows.groupBy(*grain).agg(*_activity_sums())
+    found = rows.groupBy(*grain).agg(*_activity_sums(), *[_quantiles(c).alias(f"_{n}") for n, c in _CLASSES.items()])
     added = {}
     for name in QUANTILES:
-        parts = [_quantile(c, name) for c in ("admitted", "other")]
-        added[f"waiting_{name}"] = _quantile("waiting", name)
+        parts = [_quantile(f"_{c}", name) for c in ("admitted", "other")]
+        added[f"waiting_{name}"] = _quantile("_waiting", name)
         added[f"completed_{name}_sum"] = steady(sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0)))
         added[f"completed_{name}_n"] = sum((p.isNotNull().cast("int") for p in parts), F.lit(0))
-    plain = [c for c in found.columns if not c.startswith(tuple(f"{c}_" for c in _CLASSES)) or c in ACTIVITY_COUNTS]
+    plain = [c for c in found.columns if not c.startswith("_")]
     return found.select(*plain, *[c.alias(n) for n, c in added.items()])
 
 

@@ -57,29 +57,34 @@ def month_totals(activity: DataFrame, by: list[str] | None = None) -> DataFrame:
     return activity.groupBy("period_date", *(by or [])).agg(*[c.alias(m) for m, c in counts.items()])
 
 
-def spine(keys: DataFrame, months: Column, specialties: Column) -> DataFrame:
-    """Every specialty and month for each key row. Rows multiply in place: no join, no shuffle."""
-    return keys.withColumn("treatment_function_code", F.explode(specialties)).withColumn(
-        "period_date", F.explode(months)
-    )
-
-
 def dense_monthly(
-    activity: DataFrame, providers: DataFrame, specialties: DataFrame, start: str, end: str
+    activity: DataFrame, providers: DataFrame, specialties: DataFrame, start: Column | str, end: Column | str
 ) -> DataFrame:
-    """Zero-filled grid of month x provider x specialty.
+    """Zero-filled grid of month x provider x specialty, from the first to the last month given.
 
-    The specialty list is a scalar taken from the dimension: it has as many entries as there are specialties.
+    The months of a pair of provider and specialty are gathered in one row (as many as there are months), the pairs
+    are completed by one join, and the grid is exploded last, so that neither a shuffle nor a join sees its rows. The
+    specialty list is a scalar taken from the dimension: it has as many entries as there are specialties.
     """
     codes = specialties.agg(F.array_sort(F.collect_set("treatment_function_code")).alias("codes")).scalar()
-    months = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 month"))
-    grid = spine(providers, months, codes)
-    key = ["period_date", "provider_id", "treatment_function_code"]
+    start, end = (F.lit(m).cast("date") if isinstance(m, str) else m for m in (start, end))
+    pair = ["provider_id", "treatment_function_code"]
     filled = {m: zero(m) for m in MEASURES}
     for name in ("median", "p92"):
         mean = F.col(f"completed_{name}_sum") / F.nullif(F.col(f"completed_{name}_n"), F.lit(0))
         filled[f"avg_{name}_wait_weeks"] = mean
-    return grid.join(activity, key, "left").select(*key, *[c.alias(n) for n, c in filled.items()])
+    cell = F.struct("period_date", *[c.alias(n) for n, c in filled.items()])
+    months = activity.groupBy(*pair).agg(F.map_from_entries(F.collect_list(F.struct("period_date", cell))).alias("cells"))
+    grid = providers.withColumn("treatment_function_code", F.explode(codes)).join(months, pair, "left")
+    every = F.sequence(start, end, F.expr("interval 1 month"))
+    empty = F.struct(F.lit(None).cast("date"), *[_empty(n).alias(n) for n in filled])
+    row = F.transform(every, lambda m: F.struct(m.alias("month"), F.coalesce(F.try_element_at("cells", m), empty).alias("cell")))
+    rows = grid.select(*pair, F.explode(row).alias("row"))
+    return rows.select(F.col("row.month").alias("period_date"), *pair, *[F.col(f"row.cell.{n}").alias(n) for n in filled])
+
+
+def _empty(measure: str) -> Column:
+    return F.lit(0).cast("long") if measure in MEASURES else F.lit(None).cast("double")
 
 
 def align_series(waiting: DataFrame, treated: DataFrame, referrals: DataFrame) -> DataFrame:

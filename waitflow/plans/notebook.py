@@ -75,9 +75,16 @@ def summary_formatted(summary_frame: DataFrame) -> DataFrame:
     return summary_frame.select("block", *shown, F.format_string("%.3f", "rtt_ratio").alias("rtt_ratio"))
 
 
-def latest_month(df: DataFrame) -> DataFrame:
-    """Rows of the last month; the bound is a scalar subquery over one column."""
-    return df.filter(F.col("period_date") == df.agg(F.max("period_date").alias("m")).scalar())
+def latest_cells(cells: DataFrame, by: list[str]) -> DataFrame:
+    """Cells of the last month, from one pass over what they are built from.
+
+    Every key keeps its newest cell first. The last month is then taken from that same frame: the newest cell is one
+    value, so both uses need the same shuffle and Spark runs it once.
+    """
+    values = [c for c in cells.columns if c not in by and c != "period_date"]
+    newest = cells.groupBy(*by).agg(F.max(F.struct("period_date", *values)).alias("_newest"))
+    last = newest.agg(F.max("_newest.period_date").alias("m")).scalar()
+    return newest.filter(F.col("_newest.period_date") == last).select(*by, "_newest.*")
 
 
 def latest_of(grouped: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from waitflow import schemas as S
 from waitflow.functions.numeric import sum_columns, zero
 from waitflow.operators.keys import orphans
+from waitflow.sources.tables import write_observed
+
+STAR_KEYS = ["date_key", "trust_key", "region_key", "treatment_function_key", "wait_band_key"]
 
 
 def stack(frames: list[DataFrame]) -> DataFrame:
@@ -22,16 +25,29 @@ def _count(condition: Column) -> Column:
 
 def missing_keys(tables: dict[str, DataFrame]) -> DataFrame:
     """NULL surrogate keys per star table; a key the table does not have stays NULL."""
-    keys = ["date_key", "trust_key", "region_key", "treatment_function_key", "wait_band_key"]
     checks = []
     for name, df in tables.items():
         absent = F.lit(None).cast("long")
-        found = [(_count(F.col(k).isNull()) if k in df.columns else absent).alias(f"missing_{k}") for k in keys]
+        found = [(_count(F.col(k).isNull()) if k in df.columns else absent).alias(f"missing_{k}") for k in STAR_KEYS]
         checks.append(df.agg(F.count(F.lit(1)).alias("total_rows"), *found).withColumn("table_name", F.lit(name)))
-    columns = ["table_name", "total_rows", *[f"missing_{k}" for k in keys]]
+    columns = ["table_name", "total_rows", *[f"missing_{k}" for k in STAR_KEYS]]
     return stack(checks).select(*columns)
 
 
+def write_checked(tables: dict[str, DataFrame], folder: str) -> DataFrame:
+    """Writes star tables and reports their NULL keys from the same pass; columns as in missing_keys()."""
+    found = []
+    for name, df in tables.items():
+        metrics = {f"missing_{k}": _count(F.col(k).isNull()) for k in STAR_KEYS if k in df.columns}
+        found.append((name, write_observed(df, f"{folder}/{name}", {"total_rows": F.count(F.lit(1)), **metrics})))
+    columns = ["total_rows", *[f"missing_{k}" for k in STAR_KEYS]]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(
+        [(name, *[counts.get(c) for c in columns]) for name, counts in found],
+        ", ".join(["table_name string", *[f"{c} long" for c in columns]]),
+    )
+
+
 def orphan_report(links: list[tuple[str, DataFrame, DataFrame, str, str]]) -> DataFrame:
     """Rows and distinct values of each foreign key that meet no dimension row."""
     checks = []

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waitflow import schemas as S
+from waitflow import stored_queries
 from waitflow.data import SITE, Data
 from waitflow.functions import calendar, numeric, text
 from waitflow.operators import clean, keys
@@ -106,9 +107,10 @@ def silver_new_periods(d: Data) -> DataFrame:
 @query
 def dedup_first(d: Data) -> DataFrame:
     """First row per month, provider and specialty; the line number stands for the file."""
-    ordered = d.coded(d.rows()).withColumnsRenamed({"l_linenumber": "file_no", "l_orderkey": "row_idx"})
-    first = keys.keep_first(ordered, S.CELL_KEY, ["file_no", "row_idx", "patients", "wait_week"])
-    return first.select(*S.CELL_KEY, "file_no", "row_idx", "patients", "wait_week")
+    ordered = d.rows().withColumnsRenamed({"l_linenumber": "file_no", "l_orderkey": "row_idx"})
+    # The id stands for the code, which is spelled for the rows that are left.
+    first = keys.keep_first(ordered, facts.GRAIN, ["file_no", "row_idx", "patients", "wait_week"])
+    return d.coded(first).select(*S.CELL_KEY, "file_no", "row_idx", "patients", "wait_week")
 
 
 @query
@@ -359,8 +361,9 @@ def mart_from_facts(d: Data) -> DataFrame:
 @query
 def mart_monthly_dense(d: Data) -> DataFrame:
     """Every month of the data for every provider and specialty, zero-filled."""
-    start, end = d.rows(specialty=False).agg(F.min("period_date"), F.max("period_date")).first()
-    dense = marts.dense_monthly(d.activity(waits=True), d.provider_ids(), d.specialties(), str(start), str(end))
+    bounds = d.rows(specialty=False)
+    start, end = (bounds.agg(f("period_date").alias("m")).scalar() for f in (F.min, F.max))
+    dense = marts.dense_monthly(d.activity(waits=True), d.provider_ids(), d.specialties(), start, end)
     return d.coded(dense).drop("provider_id")
 
 
@@ -557,11 +560,10 @@ def nb_summary_formatted(d: Data) -> DataFrame:
 
 @query
 def latest_month_slice(d: Data) -> DataFrame:
-    latest = notebook.latest_month(d.rows().filter("is_open"))
-    cells = facts.activity(latest, facts.GRAIN)
-    return d.label(cells).select(
-        "period_date", "provider_org_code", "treatment_function_name", "total_waiting", "waiting_over_52wks"
-    )
+    measures = ["total_waiting", "waiting_over_52wks"]
+    cells = facts.activity(d.rows().filter("is_open"), facts.GRAIN).select(*facts.GRAIN, *measures)
+    latest = notebook.latest_cells(cells, ["provider_id", "treatment_function_code"])
+    return d.label(latest).select("period_date", "provider_org_code", "treatment_function_name", *measures)
 
 
 @query
@@ -581,10 +583,13 @@ def top10_specialties(d: Data) -> DataFrame:
 
 @query
 def slice_dice(d: Data) -> DataFrame:
-    """All slicers together."""
+    """All slicers together; the years also bound the months that are read."""
+    years = ["2021/22", "2022/23", "2023/24"]
+    start, end = explore.month_bounds(years)
+    summary = marts.monthly_summary(facts.activity(d.rows(start=start, end=end), waits=False))
     sliced = explore.slice_by(
-        d.labelled_summary(),
-        financial_years=["2021/22", "2022/23", "2023/24"],
+        d.label(summary),
+        financial_years=years,
         region="ASIA",
         group="Medical",
         covid=False,
@@ -820,3 +825,9 @@ def profile_sources(d: Data) -> DataFrame:
     labels = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in present.items()]))
     return explore.profile(cells.select("period_date", "provider_id", F.explode(labels).alias("source")))
 
+
+
+# --- stored tables and files ---------------------------------------------------------------------------
+
+for _stored in stored_queries.QUERIES:
+    query(_stored)

@@ -31,6 +31,17 @@ def provider_code(provider_id: Column) -> Column:
     return F.when(F.length(digits) > 5, too_long.cast("string")).otherwise(F.concat(F.lit("S"), F.lpad(digits, 5, "0")))
 
 
+def order_bounds(start: str | None, end: str | None) -> list[Column]:
+    """Conditions on the order date that hold for orders of the months from start to end, and reach the scan."""
+    at = F.col("o_orderdate")
+    found = []
+    for month, shift, compare in ((start, -MONTH_SHIFT, at.__ge__), (end, 1 - MONTH_SHIFT, at.__lt__)):
+        if month is not None:
+            edge = F.add_months(F.trunc(F.lit(month).cast("date"), "MM"), shift)
+            found.append(compare(edge.cast("timestamp_ntz")))
+    return found
+
+
 def _brand_number(code: Column) -> Column:
     return F.substring_index(code, "#", -1)
 
@@ -45,9 +56,21 @@ def specialty_group(code: Column) -> Column:
     return F.when(group == 0, first).when(group == 1, second).when(group == 2, third)
 
 
-def pathways(spark: SparkSession, directory: str, specialty: bool = True) -> DataFrame:
-    """period_date, provider_id, [treatment_function_code,] wait_week, patients, is_open, is_admitted."""
-    lines = table(spark, directory, "lineitem").select(
+def pathways(
+    spark: SparkSession,
+    directory: str,
+    specialty: bool = True,
+    start: str | None = None,
+    end: str | None = None,
+    tables: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """period_date, provider_id, [treatment_function_code,] wait_week, patients, is_open, is_admitted.
+
+    start and end are the first and last month to read; they are turned into bounds of the order date, so that the
+    scan of the orders skips what lies outside. Lines and orders can be given, as when they are stored in buckets.
+    """
+    source = tables or {n: table(spark, directory, n) for n in ("lineitem", "orders")}
+    lines = source["lineitem"].select(
         "l_orderkey",
         "l_partkey",
         "l_linenumber",
@@ -64,7 +87,10 @@ def pathways(spark: SparkSession, directory: str, specialty: bool = True) -> Dat
             F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("treatment_function_code")
         )
         lines = lines.join(part, "l_partkey")
-    orders = table(spark, directory, "orders").select(
+    orders = source["orders"]
+    for bound in order_bounds(start, end):
+        orders = orders.filter(bound)
+    orders = orders.select(
         F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("order_day")
     )
     gap = F.pmod(F.datediff("ship_day", "order_day"), F.lit(WAIT_DAYS))

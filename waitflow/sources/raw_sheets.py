@@ -1,11 +1,11 @@
-"""Raw sheets written from the pathway rows: text cells and stray rows, and a few faulty sheets beside them.
+"""Raw sheets written from the pathway rows: text cells and stray rows, and broken copies of some sheets beside them.
 
 They stand in for the published spreadsheets, so that cleaning and ingest run on the given tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waitflow import schemas as S
@@ -89,37 +89,38 @@ def _text(period: Column | str, headings: Column, lines: Column) -> Column:
 
 
 def sheet_texts(weekly: DataFrame) -> DataFrame:
-    """One text per provider and month, with preamble, and the faulty sheets. A text holds one line per specialty."""
+    """One text per provider and month, with preamble, and broken copies of some. A text holds a line per specialty."""
     cells = [*_base(weekly), *[_cell(h) for h in WEEK_HEADINGS], F.col(f"`{INCOMPLETE_TOTAL}`").cast("string")]
     line = F.concat_ws(",", *cells)
-    grouped = weekly.groupBy("period_date", "provider_org_code").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    grouped = weekly.groupBy("period_date", "provider_org_code", "provider_id").agg(
+        F.array_sort(F.collect_list(line)).alias("lines")
+    )
     month = F.col("period_date")
+    name = F.concat(F.lit("Incomplete-Provider-"), "provider_org_code", F.lit("-"), F.date_format(month, "MMMyy"))
     headings = F.array(F.lit(",".join(f'"{h}"' for h in INCOMPLETE_HEADINGS)))
-    good = grouped.select(
-        F.concat(
-            F.lit("Incomplete-Provider-"), "provider_org_code", F.lit("-"), F.date_format(month, "MMMyy"), F.lit(".csv")
-        ).alias("file_name"),
-        _text(F.date_format(month, "MMMM yyyy"), headings, F.col("lines")).alias("content"),
-    )
-    return good.unionByName(faulty_sheets(weekly.sparkSession, headings))
+    period = F.date_format(month, "MMMM yyyy")
+    good = F.struct(F.concat(name, F.lit(".csv")).alias("file_name"), _text(period, headings, F.col("lines")).alias("content"))
+    versions = F.array(good, _broken_copy(name, period, headings, F.col("lines")))
+    return grouped.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v")).select("v.*")
 
 
-# Made-up sheets: (file name, period, has a header, has a line). The line has a suppressed and an unreadable cell.
-FAULTY_SHEETS = [
-    ("Incomplete-Provider-NOPERIOD.csv", "Unknown", True, True),
-    ("Incomplete-Provider-NOHEADER.csv", "April 2019", False, True),
-    ("Incomplete-Provider-NOROWS.csv", "April 2019", True, False),
-]
+def is_copied(provider_id: Column, month: Column) -> Column:
+    """Every provider has a broken copy of its sheet once a year, in a month that its id decides."""
+    return (provider_id + F.month(month)) % 12 == 0
 
 
-def faulty_sheets(spark: SparkSession, headings: Column) -> DataFrame:
-    line = ",".join(["Y00", "TEST01", "Test", "C_1", "Nothing", SUPPRESSED, "n/a", *["1"] * (len(WEEK_HEADINGS) - 2), "51"])
+def _broken_copy(name: Column, period: Column, headings: Column, lines: Column) -> Column:
+    """A second version of a sheet without a readable period, without a header, without lines, or cut in its preamble;
+    NULL for sheets that have none."""
     none = F.array().cast("array<string>")
+    whole = _text(period, headings, lines)
     texts = [
-        F.struct(
-            F.lit(name).alias("file_name"),
-            _text(F.lit(period), headings if header else none, F.array(F.lit(line)) if rows else none).alias("content"),
-        )
-        for name, period, header, rows in FAULTY_SHEETS
+        _text(F.lit("Unknown"), headings, lines),
+        _text(period, none, lines),
+        _text(period, headings, none),
+        F.substring_index(whole, "\n", S.HEADER_ROW - 2),
     ]
-    return spark.range(1).select(F.inline(F.array(*texts)))
+    fault = F.year("period_date") % len(texts)
+    content = F.coalesce(*[F.when(fault == i, t) for i, t in enumerate(texts)])
+    copy = F.struct(F.concat(name, F.lit("-copy.csv")).alias("file_name"), content.alias("content"))
+    return F.when(is_copied(F.col("provider_id"), F.col("period_date")), copy)

@@ -12,6 +12,10 @@ from waitflow.functions.text import parse_period
 _FIELD = '("[^"]*+(?:""[^"]*+)*+"|[^,]*+)(?:,|$)'
 
 
+# One record of a sheet, up to the next line feed outside of quotes or the end of the text.
+_RECORD = '((?:[^"\n]++|"[^"]*+"|")*+)(?:\n|$)'
+
+
 def unquoted(cell: Column) -> Column:
     inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
     return F.when(cell.startswith('"'), inner).otherwise(cell)
@@ -24,7 +28,12 @@ def cells_of(line: Column) -> Column:
 
 
 def _with_lines(sheets: DataFrame) -> DataFrame:
-    return sheets.withColumn("lines", F.split(F.regexp_replace("content", "\r", ""), "\n"))
+    """Records of a sheet. Only a text that has a quote open at the end of a line is not simply split."""
+    text = F.regexp_replace("content", "\r", "")
+    lines = F.split(text, "\n")
+    quotes = lambda line: F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    is_open = F.exists(lines, lambda line: quotes(line) % 2 == 1)
+    return sheets.withColumn("lines", F.when(is_open, F.regexp_extract_all(text, F.lit(_RECORD), F.lit(1))).otherwise(lines))
 
 
 def _line(number: int) -> Column:
