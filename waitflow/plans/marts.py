@@ -69,22 +69,17 @@ def dense_monthly(
     codes = specialties.agg(F.array_sort(F.collect_set("treatment_function_code")).alias("codes")).scalar()
     start, end = (F.lit(m).cast("date") if isinstance(m, str) else m for m in (start, end))
     pair = ["provider_id", "treatment_function_code"]
-    filled = {m: zero(m) for m in MEASURES}
+    values = {m: F.col(m) for m in MEASURES}
     for name in ("median", "p92"):
         mean = F.col(f"completed_{name}_sum") / F.nullif(F.col(f"completed_{name}_n"), F.lit(0))
-        filled[f"avg_{name}_wait_weeks"] = mean
-    cell = F.struct("period_date", *[c.alias(n) for n, c in filled.items()])
-    months = activity.groupBy(*pair).agg(F.map_from_entries(F.collect_list(F.struct("period_date", cell))).alias("cells"))
+        values[f"avg_{name}_wait_weeks"] = mean
+    cell = F.struct("period_date", F.struct(*[c.alias(n) for n, c in values.items()]))
+    months = activity.groupBy(*pair).agg(F.map_from_entries(F.collect_list(cell)).alias("cells"))
     grid = providers.withColumn("treatment_function_code", F.explode(codes)).join(months, pair, "left")
-    every = F.sequence(start, end, F.expr("interval 1 month"))
-    empty = F.struct(F.lit(None).cast("date"), *[_empty(n).alias(n) for n in filled])
-    row = F.transform(every, lambda m: F.struct(m.alias("month"), F.coalesce(F.try_element_at("cells", m), empty).alias("cell")))
-    rows = grid.select(*pair, F.explode(row).alias("row"))
-    return rows.select(F.col("row.month").alias("period_date"), *pair, *[F.col(f"row.cell.{n}").alias(n) for n in filled])
-
-
-def _empty(measure: str) -> Column:
-    return F.lit(0).cast("long") if measure in MEASURES else F.lit(None).cast("double")
+    month = F.explode(F.sequence(start, end, F.expr("interval 1 month"))).alias("period_date")
+    rows = grid.select(*pair, "cells", month).withColumn("cell", F.try_element_at("cells", F.col("period_date")))
+    filled = [(zero(F.col(f"cell.{n}")) if n in MEASURES else F.col(f"cell.{n}")).alias(n) for n in values]
+    return rows.select("period_date", *pair, *filled)
 
 
 def align_series(waiting: DataFrame, treated: DataFrame, referrals: DataFrame) -> DataFrame:

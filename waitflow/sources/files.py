@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,16 +48,16 @@ def scan_csv(
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RECORD)
-        .option("columnPruning", False)
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .csv(path)
     )
-    # Spark refuses a scan of the record alone. This holds for every row and keeps a column beside it in the scan.
-    any_row = F.coalesce(F.col(f"`{schema.fieldNames()[0]}`").cast("string"), F.lit("")) >= F.lit("")
-    return rows.filter(any_row).select("*", F.col("_metadata.file_path").alias("file_path"))
+    # Spark judges a record by the columns that a query reads, and refuses a scan of the record alone. This holds for
+    # every row and keeps all columns in the scan.
+    n_null = reduce(add, [F.col(f"`{n}`").isNull().cast("int") for n in schema.fieldNames()])
+    return rows.filter(n_null >= 0).select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
 def fitting(scanned: DataFrame) -> DataFrame:
