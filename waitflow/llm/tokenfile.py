@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
-MEMO_BYTES = 80 << 20  # pieces and ids remembered per Python worker; a memory, not a limit of what is encoded
+MEMO_BYTES = 64 << 20  # pieces and ids remembered per Python worker; a memory, not a limit of what is encoded
+PIECE_BYTES = 150  # of a remembered piece beside its text and ids
 MEMO_WORD = 64  # longer pieces are encoded anew wherever they stand
-SLICE = 2 << 20  # bytes of text that are encoded at once
+SLICE = 1 << 20  # bytes of text that are encoded at once
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 
@@ -43,7 +44,7 @@ _KIND = np.full(256, 3, np.uint8)
 _KIND[0x20] = 0
 _KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
 _KIND[[b for b in range(0x21, 0x7F) if _KIND[b] == 3 and chr(b) not in "'<|>"]] = 2
-LOT = 20_000  # pieces that the library encodes at once
+LOT = 4_000  # pieces that the library encodes at once
 
 _memos: dict[str, "_Pieces"] = {}
 
@@ -86,10 +87,8 @@ class _Pieces:
         buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[inside].tobytes())]
         return pa.Array.from_buffers(pa.binary(), len(starts), buffers), starts
 
-    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, pieces: list[bytes], memo_bytes: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after the other, and where those of each piece begin (and the last one's end)."""
-        if self.bytes > MEMO_BYTES:
-            self.clear()
         at = np.fromiter((self.places.get(w, -1) for w in pieces), np.int64, len(pieces))
         new = np.flatnonzero(at < 0)
         fresh, found = [pieces[i] for i in new], []
@@ -101,9 +100,15 @@ class _Pieces:
         lengths = starts[at + 1] - starts[at]
         ids = _gathered(flat, starts[at], lengths)
         kept = [(w, x) for w, x in zip(fresh, found) if len(w) <= MEMO_WORD]
+        size = sum(PIECE_BYTES + len(w) + x.nbytes for w, x in kept)
+        if self.bytes + size > memo_bytes:  # what stands in this slice has the common pieces; the others are let go
+            short = [i for i, w in enumerate(pieces) if len(w) <= MEMO_WORD]
+            kept = [(pieces[i], flat[starts[at[i]] : starts[at[i] + 1]]) for i in short]
+            self.clear()
+            size = sum(PIECE_BYTES + len(w) + x.nbytes for w, x in kept)
         self.places.update((w, len(self.starts) - 1 + i) for i, (w, _) in enumerate(kept))
         self.starts, self.ids = self._with([x for _, x in kept])
-        self.bytes += sum(150 + len(w) + x.nbytes for w, x in kept)
+        self.bytes += size
         return ids, np.concatenate([[0], np.cumsum(lengths)])
 
     def _with(self, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +137,7 @@ def _bytes_of(values: pa.Array) -> list[bytes]:
     return [data[a:b] for a, b in zip(ends, ends[1:])]
 
 
-def encode_texts(texts: pa.Array, path: str = TOKENIZER) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: pa.Array, path: str = TOKENIZER, memo_bytes: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Ids of whole texts (UTF-8 bytes, none NULL) one after the other, and how many each text has.
 
     Different pieces of the texts are found first, so that only these are looked up or encoded.
@@ -145,7 +150,7 @@ def encode_texts(texts: pa.Array, path: str = TOKENIZER) -> tuple[np.ndarray, np
     known = _pieces(path)
     pieces, at = known.cut(raw, offsets[:-1] - low)
     coded = pieces.dictionary_encode()
-    ids, starts = known.encode(_bytes_of(coded.dictionary))
+    ids, starts = known.encode(_bytes_of(coded.dictionary), MEMO_BYTES if memo_bytes is None else memo_bytes)
     own = coded.indices.to_numpy()
     lengths = np.diff(starts)[own]
     before = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(at, offsets - low)]
@@ -169,9 +174,13 @@ def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
         yield low, len(sizes)
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> None:
+def write_tokens(
+    docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID, memo_bytes: int | None = None
+) -> None:
     """Encodes every text (NULL: empty), ends each document with end_id, and writes the files.
 
+    memo_bytes: what a Python worker may remember of pieces, for workers that hold other operators' models as well.
+
     Repeated doc_ids are all written, ordered by checksum of the text; a NULL doc_id comes first.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +189,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
             sizes = np.diff(np.frombuffer(whole["text"].buffers()[1], np.int32)[whole["text"].offset :][: whole.num_rows + 1])
             for low, high in _slices(sizes):
                 batch = whole.slice(low, high - low)
-                ids, counts = encode_texts(batch["text"], tokenizer)
+                ids, counts = encode_texts(batch["text"], tokenizer, memo_bytes)
                 ends = np.cumsum(counts + 1)
                 tokens = np.insert(ids, np.cumsum(counts), end_id)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(tokens))
