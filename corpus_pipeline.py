@@ -48,7 +48,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token files and returns doc_id, start, n_tokens and ids_crc32, read back from them."""
     path = new_path(spark, "tokens")
-    tokenfile.write_tokens(docs, path)
+    # The workers still hold what the stages before have learned.
+    tokenfile.write_tokens(docs, path, memo_bytes=16 << 20)
     return tokenfile.checksums(spark, path)
 
 
