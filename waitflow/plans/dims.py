@@ -9,6 +9,7 @@ from waitflow import schemas as S
 from waitflow.functions import calendar
 from waitflow.operators.keys import keep_first, with_surrogate_key
 
+# Columns of the date dimension.
 DATE_COLUMNS = [
     "date_key",
     "full_date",
