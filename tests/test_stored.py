@@ -73,14 +73,35 @@ def test_a_batch_without_rows_is_emptied(spark, store):
 def test_a_load_that_broke_off_is_repeated(spark, store, monkeypatch):
     load(store, spark, [(APRIL, "A00", "100", 1, "a"), (MAY, "A00", "100", 1, "a")], ["a"])
     final = [(MAY, "A00", "100", 5, "a")]
+    store.settle(store.pending())
     with monkeypatch.context() as m:
         m.setattr(workspace, "remove", lambda *a: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             load(store, spark, final, ["a"])
+    assert set(sum(store.pending().values(), [])) == {202004, 202005}
     load(store, spark, final, ["a"])
     assert held(store, spark) == [("a", 202005, "A00", 5)]
 
 
+def test_touched_months_are_kept_until_the_marts_are_refreshed(spark, store, monkeypatch):
+    empty = [(APRIL, "A00", "100", 1, "a"), (MAY, "A00", "100", 1, "a")]
+    load(store, spark, empty, ["a"])
+    load(store, spark, [(MAY, "A00", "100", 2, "a")], ["a"])
+    load(store, spark, [(JUNE, "B00", "100", 2, "b")], ["b"])
+    refreshed = []
+    built = loads.Marts(store, {})
+
+    def breaks(months):
+        raise OSError("lost")
+
+    monkeypatch.setattr(built, "refresh", breaks)
+    with pytest.raises(OSError):
+        built.refresh_pending()
+    monkeypatch.setattr(built, "refresh", refreshed.append)
+    assert built.refresh_pending() == [202004, 202005, 202006] and refreshed == [[202004, 202005, 202006]]
+    assert built.refresh_pending() == [] and len(refreshed) == 1
+
+
 def test_partition_values_must_be_plain(spark, store):
     load(store, spark, [(APRIL, "A00", "100", 1, "2020/21")], ["2020/21"])
     with pytest.raises(ValueError):

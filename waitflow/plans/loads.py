@@ -7,19 +7,23 @@ by a refresh that reads the touched months of the facts and replaces the same mo
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waitflow.functions import calendar
 from waitflow.plans import facts, marts
-from waitflow.sources import tables
+from waitflow.sources import tables, workspace
 from waitflow.sources.tables import BATCH
 
 MONTH = "date_key"
 PARTITIONS = [MONTH, BATCH]
 KINDS = ["incomplete", "completed", "new_periods"]
+NOTE = f"{MONTH} int, note string"
 
 
 def batch_name(kind: str, month: Column) -> Column:
@@ -50,9 +54,41 @@ class Facts:
         return rows if batches is None else rows.filter(F.col(BATCH).isin(batches))
 
     def load(self, kind: str, rows: DataFrame, batches: list[str]) -> list[int]:
-        """Replaces the named batches by their staged rows; returns the months touched, before or after."""
-        touched = tables.replace_scope(rows, self.path(kind), PARTITIONS, F.col(BATCH).isin(batches))
-        return sorted({month for month, _ in touched})
+        """Replaces the named batches by their staged rows; returns the months touched, before or after.
+
+        The months are noted before anything is replaced, and the note stays until the marts are refreshed. So a load
+        or refresh that breaks off is made up for by the next ones, also for months that are already gone.
+        """
+        scope = F.col(BATCH).isin(batches)
+        keys = T.StructType([rows.schema[c] for c in PARTITIONS])
+        months = {month for month, _ in tables.stored_partitions(self.spark, self.path(kind), keys, scope)}
+        months |= {r[0] for r in rows.select(MONTH).distinct().collect()}
+        self._note(sorted(months))
+        tables.replace_scope(rows, self.path(kind), PARTITIONS, scope)
+        return sorted(months)
+
+    @property
+    def _notes(self) -> str:
+        return f"{self.folder}/pending"
+
+    def _note(self, months: list[int]) -> None:
+        note = uuid4().hex
+        noted = self.spark.createDataFrame([(m, note) for m in months], NOTE)
+        tables.append_table(noted.coalesce(1), self._notes, ["note"])
+
+    def pending(self) -> dict[str, list[int]]:
+        """Months that loads have touched since the marts were last refreshed, by note."""
+        if not workspace.exists(self.spark, self._notes):
+            return {}
+        found: dict[str, list[int]] = {}
+        for row in self.spark.read.schema(NOTE).parquet(self._notes).collect():
+            found.setdefault(row.note, []).append(row[MONTH])
+        return found
+
+    def settle(self, notes: Iterable[str]) -> None:
+        """Removes notes whose months have been refreshed."""
+        for note in notes:
+            tables.drop_partition(self.spark, self._notes, "note", note)
 
     def read(self, kind: str, schema: DataFrame, months: list[int] | None = None) -> DataFrame:
         """Stored rows; months prune partitions."""
@@ -103,6 +139,15 @@ class Marts:
         stored = tables.read_stored(self.facts.spark, self.path("monthly"), sums).filter(inside)
         tables.replace_scope(national_sums(stored), self.path("national"), [MONTH], inside)
 
+    def refresh_pending(self) -> list[int]:
+        """Refreshes all months that loads have touched since the last refresh, and returns them."""
+        notes = self.facts.pending()
+        months = sorted({m for found in notes.values() for m in found})
+        if months:
+            self.refresh(months)
+        self.facts.settle(notes)
+        return months
+
     def open_views(self, prefix: str) -> None:
         """Views of both marts over whatever is stored when they are read; ratios are taken then."""
         inc, done, new = (self.facts.read(k, self.likes[k]) for k in KINDS)

@@ -96,14 +96,12 @@ def _refreshed(d: Data) -> str:
         stored.stage(kind, _provisional(rows[kind].withColumn("_batch", batch)), F.col("_batch"))
         staged = stored.staged(kind, rows[kind])
         stored.load(kind, staged, _batches(staged))
-    every = {m for k in loads.KINDS for m, in stored.read(k, rows[k]).select(loads.MONTH).distinct().collect()}
-    built.refresh(sorted(every))
-    touched: set[int] = set()
+    built.refresh_pending()
     for kind in loads.KINDS:
         stored.stage(kind, _flat(d, kind, PROVISIONAL_FROM), loads.batch_name(kind, F.col("period_date")))
         staged = stored.staged(kind, rows[kind])
-        touched.update(stored.load(kind, staged, _batches(staged)))
-    built.refresh(sorted(touched))
+        stored.load(kind, staged, _batches(staged))
+    built.refresh_pending()
     prefix = f"v_{uuid4().hex}"
     built.open_views(prefix)
     return prefix
