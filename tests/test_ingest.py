@@ -130,3 +130,24 @@ def test_manifest(spark):
     row = links.manifest(found, known, "grp").first()
     assert (row["n_links"], row["n_new"], row["n_skipped"]) == (3, 1, 2)
     assert [r["filename"] for r in links.new_files(found, known, "grp").collect()] == ["a"]
+
+
+def test_a_filter_over_the_status_splits_a_sheet_once(spark):
+    rows = [(f"{i}.csv", preamble(period, HEADER, "Y56,RJ1,Alpha,100,Surgery,1,1,2")) for i, period in enumerate(("April 2019", "soon"))]
+    bad = sheets.file_status(spark.createDataFrame(rows, "file_name string, content string").repartition(2)).filter("status <> 'ok'")
+    assert [tuple(r) for r in bad.collect()] == [("1.csv", "no period")]
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    # Both branches of the one expression read the text.
+    assert plan.count("regexp_replace(content") == 3
+
+
+def test_week_maps_equal_weekly_columns(spark):
+    schema = "g int, wait_week int, patients long, is_open boolean"
+    rows = [(1, 0, 2, True), (1, 0, 3, True), (1, 52, None, True), (1, None, 7, True), (2, 9, None, True), (2, 9, 4, False)]
+    df = spark.createDataFrame(rows, schema)
+    wide = {r.g: r for r in raw_sheets.weekly_sums(df, ["g"]).collect()}
+    maps = {r.g: r for r in raw_sheets.week_maps(df, ["g"]).collect()}
+    assert maps[1].weeks == {0: 5, 52: None} and maps[2].weeks == {9: None}
+    for g, row in maps.items():
+        assert [row.weeks.get(i) for i in range(53)] == [wide[g][h] for h in raw_sheets.WEEK_HEADINGS]
+        assert row[raw_sheets.INCOMPLETE_TOTAL] == wide[g][raw_sheets.INCOMPLETE_TOTAL]

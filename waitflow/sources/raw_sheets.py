@@ -28,6 +28,19 @@ def weekly_sums(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
     return rows.filter("is_open").groupBy(*grain).agg(*cells, F.sum("patients").alias(INCOMPLETE_TOTAL))
 
 
+def week_maps(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
+    """Waiting patients by week as a map of the weeks that have any row, with the total.
+
+    Most cells have one or two weeks, so a map is much less to aggregate and to shuffle than 53 columns. Rows are
+    summed by week before they are gathered, so a map has 53 entries at most.
+    """
+    weeks = rows.filter("is_open").groupBy(*grain, "wait_week").agg(F.sum("patients").alias("n"))
+    entry = F.when(F.col("wait_week").isNotNull(), F.struct("wait_week", "n"))
+    return weeks.groupBy(*grain).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("weeks"), F.sum("n").alias(INCOMPLETE_TOTAL)
+    )
+
+
 def _cell(name: str) -> Column:
     """Blank for nothing, the number otherwise."""
     return F.expr(f"coalesce(CAST(`{name}` AS STRING), '') AS `{name}`")
@@ -89,9 +102,13 @@ def _text(period: Column | str, headings: Column, lines: Column) -> Column:
 
 
 def sheet_texts(weekly: DataFrame) -> DataFrame:
-    """One text per provider and month, with preamble, and broken copies of some. A text holds a line per specialty."""
-    cells = [*_base(weekly), *[_cell(h) for h in WEEK_HEADINGS], F.col(f"`{INCOMPLETE_TOTAL}`").cast("string")]
-    line = F.concat_ws(",", *cells)
+    """One text per provider and month, with preamble, and broken copies of some. A text holds a line per specialty.
+
+    `weekly` has the weeks as a map and carries provider and specialty labels.
+    """
+    weeks = F.array(*[F.lit(i) for i in range(len(WEEK_HEADINGS))])
+    cells = F.transform(weeks, lambda i: F.coalesce(F.try_element_at("weeks", i).cast("string"), F.lit("")))
+    line = F.concat_ws(",", *_base(weekly), cells, F.col(f"`{INCOMPLETE_TOTAL}`").cast("string"))
     grouped = weekly.groupBy("period_date", "provider_org_code", "provider_id").agg(
         F.array_sort(F.collect_list(line)).alias("lines")
     )

@@ -28,12 +28,17 @@ def cells_of(line: Column) -> Column:
 
 
 def _with_lines(sheets: DataFrame) -> DataFrame:
-    """Records of a sheet. Only a text that has a quote open at the end of a line is not simply split."""
+    """Records of a sheet. Only a text that has a quote open at the end of a line is not simply split.
+
+    The records are given by a generator, through which no filter is pushed down: as a plain column the split would be
+    repeated for each place where a filter over it (of a status, of a period) reads a line.
+    """
     text = F.regexp_replace("content", "\r", "")
     lines = F.split(text, "\n")
     quotes = lambda line: F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     is_open = F.exists(lines, lambda line: quotes(line) % 2 == 1)
-    return sheets.withColumn("lines", F.when(is_open, F.regexp_extract_all(text, F.lit(_RECORD), F.lit(1))).otherwise(lines))
+    records = F.when(is_open, F.regexp_extract_all(text, F.lit(_RECORD), F.lit(1))).otherwise(lines)
+    return sheets.select("*", F.explode(F.array(records)).alias("lines"))
 
 
 def _line(number: int) -> Column:
@@ -51,14 +56,17 @@ def sheet_rows(sheets: DataFrame, headings: list[str]) -> DataFrame:
     Each file's own header says where a heading is, so column order may differ between files. The places
     are looked up once per file, before its lines are exploded; each data line is split once.
     """
-    header = F.transform(cells_of(_line(S.HEADER_ROW)), lambda c: F.trim(c))
+    wanted = F.array(*[F.lit(h) for h in headings])
+    # The usual header is known by its text and needs no reading of its quoted fields.
+    usual = ",".join('"' + h.replace('"', '""') + '"' for h in headings)
+    read = F.transform(cells_of(_line(S.HEADER_ROW)), lambda c: F.trim(c))
+    header = F.when(_line(S.HEADER_ROW) == usual, F.transform(wanted, lambda c: F.trim(c))).otherwise(read)
     headed = _with_lines(sheets).select(
         F.coalesce(F.date_format(_period(), "yyyy-MM-dd"), F.lit("Unknown")).alias("period_date"),
         F.col("file_name").alias("source_file"),
         header.alias("header"),
         "lines",
     )
-    wanted = F.array(*[F.lit(h) for h in headings])
     # A header in the usual order needs no lookup.
     places = F.when(
         F.slice("header", F.lit(1), F.lit(len(headings))) == wanted, F.sequence(F.lit(0), F.lit(len(headings) - 1))
@@ -67,7 +75,8 @@ def sheet_rows(sheets: DataFrame, headings: list[str]) -> DataFrame:
         "period_date", "source_file", "places", F.posexplode("lines").alias("row_idx", "line")
     )
     data = placed.filter((F.col("row_idx") > S.HEADER_ROW) & F.col("line").rlike("[^, ]"))
-    split_up = data.withColumn("cells", cells_of(F.col("line")))
+    # A generator again, so that a filter over the columns splits no line a second time.
+    split_up = data.select("places", F.explode(F.array(cells_of(F.col("line")))).alias("cells"), "period_date", "source_file", "row_idx")
     named = [F.expr(f"get(cells, places[{i}]) AS `{h}`") for i, h in enumerate(headings)]
     return split_up.select(*named, "period_date", "source_file", "row_idx")
 
