@@ -100,7 +100,11 @@ def profile(cells: DataFrame) -> DataFrame:
 
     Rows are grouped to month and provider first; each distinct count then works on that grain alone.
     """
-    per_key = cells.groupBy("source", "period_date", "provider_id").agg(F.count(F.lit(1)).alias("n"))
+    return profile_counted(cells.groupBy("source", "period_date", "provider_id").agg(F.count(F.lit(1)).alias("n")))
+
+
+def profile_counted(per_key: DataFrame) -> DataFrame:
+    """The same from n rows by source, period_date and provider_id."""
     return per_key.groupBy("source").agg(
         F.sum("n").alias("n_rows"),
         F.count_distinct("period_date").alias("n_months"),

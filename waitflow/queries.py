@@ -822,8 +822,14 @@ def profile_sources(d: Data) -> DataFrame:
         "Non-admitted": F.col("completed_non_admitted") > 0,
         "New periods": F.lit(True),
     }
-    labels = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in present.items()]))
-    return explore.profile(cells.select("period_date", "provider_id", F.explode(labels).alias("source")))
+    # Counted by month and provider before the sources become rows, of which a cell would give up to four.
+    counts = [F.count(F.when(c, 1)) for c in present.values()]
+    counted = cells.groupBy("period_date", "provider_id").agg(F.array(*counts).alias("counts"))
+    by_source = F.transform(
+        F.array(*[F.lit(n) for n in present]), lambda name, i: F.struct(name.alias("source"), F.get("counts", i).alias("n"))
+    )
+    per_key = counted.select("period_date", "provider_id", F.inline(by_source)).filter("n > 0")
+    return explore.profile_counted(per_key)
 
 
 
