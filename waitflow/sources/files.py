@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,13 +76,21 @@ def rejected(scanned: DataFrame, schema: T.StructType) -> DataFrame:
     return found.select("file_path", F.col(RECORD).alias("record"), F.coalesce(reason, *unread, F.lit("unreadable")).alias("reason"))
 
 
-def write_lines(lines: DataFrame, path: str, extension: str = "csv") -> None:
-    """Text files from (file, position, line): the lines of a file lie together and in order, in a folder of its name.
+def write_lines(lines: DataFrame, path: str, header: str | None = None, extension: str = "csv") -> None:
+    """Text files from (file, position, line): the lines of a file lie together and in order, below a header if
+    there is one, in a folder of its name.
 
-    A file is put together by one task; what is a file at the source has a bounded length.
+    A file is put together by one task; what is a file at the source has a bounded length. The header goes in front of
+    the first line where the file is put together, so the lines are computed once.
     """
-    gathered = lines.repartition("file").sortWithinPartitions("file", "position")
-    writer = gathered.select("file", "line").write.mode("append").partitionBy("file")
+    gathered = lines.repartition("file")
+    if header is None:
+        ordered = gathered.sortWithinPartitions("file", "position").select("file", "line")
+    else:
+        first = F.row_number().over(Window.partitionBy("file").orderBy("position")) == 1
+        given = F.when(first, F.array(F.lit(header), F.col("line"))).otherwise(F.array("line"))
+        ordered = gathered.select("file", given.alias("given")).select("file", F.explode("given").alias("line"))
+    writer = ordered.write.mode("append").partitionBy("file")
     writer.option("fileExtension", extension).text(path)
 
 

@@ -79,7 +79,8 @@ class Ingest:
         rows = f"{self.store}/rows"
         tables.drop_partition(self.spark, rows, RUN, number)
         if paths:
-            tables.append_table(self.read(paths).withColumn(RUN, F.lit(number)), rows, [RUN])
+            # All rows go to one partition, so nothing has to be gathered by it first.
+            self.read(paths).withColumn(RUN, F.lit(number)).write.mode("append").partitionBy(RUN).parquet(rows)
         tables.drop_partition(self.spark, f"{self.store}/snapshots", RUN, number)
         tables.append_table(plan.coalesce(1), f"{self.store}/snapshots", [RUN])
         return len(paths)

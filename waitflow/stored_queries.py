@@ -252,11 +252,10 @@ def _scanned_with_faults(d: Data) -> DataFrame:
     columns = S.NEW_PERIODS_CSV.fieldNames()
     line = F.array_join(F.array(*[F.col(c).cast("string") for c in columns]), ",")
     which = F.when(F.col("provider_id") % 7 == 0, F.floor(F.col("provider_id") / 7) % 3)
-    lines = rows.select("file", line.alias("line"), which.alias("which"))
-    given = lines.select("file", F.lit(1).alias("position"), "line")
-    broken = lines.filter("which IS NOT NULL").select("file", F.lit(2).alias("position"), _broken_line(F.col("line"), F.col("which")).alias("line"))
-    header = rows.select("file").distinct().select("file", F.lit(0).alias("position"), F.lit(",".join(columns)).alias("line"))
-    files.write_lines(header.unionByName(given).unionByName(broken), path)
+    # A line and its broken version come from one row, so that the rows are computed once.
+    both = F.array(F.struct(F.lit(1).alias("position"), line.alias("line")), F.struct(F.lit(2).alias("position"), _broken_line(line, which).alias("line")))
+    lines = rows.select("file", F.inline(F.when(which.isNull(), F.slice(both, 1, 1)).otherwise(both)))
+    files.write_lines(lines, path, ",".join(columns))
     return files.scan_csv(d.spark, path, S.NEW_PERIODS_CSV, pattern="*")
 
 
@@ -303,9 +302,7 @@ def _drop_files(rows: DataFrame, path: str) -> None:
     """One file for each month below a folder."""
     columns = [c.split(" ")[0] for c in _INGESTED.split(", ")]
     line = F.array_join(F.array(*[F.col(c).cast("string") for c in columns]), ",")
-    lines = rows.select("file", F.lit(1).alias("position"), line.alias("line"))
-    header = rows.select("file").distinct().select("file", F.lit(0).alias("position"), F.lit(",".join(columns)).alias("line"))
-    files.write_lines(header.unionByName(lines), path)
+    files.write_lines(rows.select("file", F.lit(1).alias("position"), line.alias("line")), path, ",".join(columns))
 
 
 def _ingested(d: Data) -> Ingest:
