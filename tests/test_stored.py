@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from tests.conftest import SMALL
 from waitflow import stored_queries
 from waitflow.data import Data
+from waitflow.functions.numeric import steady
 from waitflow.operators import clean, keys
 from waitflow.plans import dims, facts, loads, marts, sketches, waits
+from waitflow.queries import QUERIES
 from waitflow.sources import buckets, files, increments, pathways, sheets, tables, workspace
 
 ROWS = "period_date date, provider_org_code string, treatment_function_code string, new_rtt_periods long"
@@ -378,3 +380,63 @@ def test_cells_with_line_feeds_stay_whole(spark):
 def test_a_filter_on_the_calendar_prunes_stored_facts(spark):
     plan = plan_of(stored_queries._covid_facts(Data(spark, SMALL)))
     assert "dynamicpruning" in plan
+
+
+def test_refresh_joins_the_tables_once(spark, monkeypatch):
+    """All loads of a refresh read one stored copy of the joined rows."""
+    joined = []
+    monkeypatch.setattr(Data, "rows", lambda self, *a, _own=Data.rows, **k: joined.append(1) or _own(self, *a, **k))
+    stored_queries.mart_refreshed(Data(spark, SMALL))
+    assert len(joined) == 1
+
+
+def test_merging_histograms_adds_occupied_weeks_only(spark):
+    cells = waits.histograms(Data(spark, SMALL).rows().filter("is_open"), facts.GRAIN)
+    assert "hist[52]" not in plan_of(waits.merge(cells, ["provider_id"]))
+
+
+def test_histograms_count_rows_without_a_wait(spark):
+    rows = spark.createDataFrame([(1, 3), (1, 3), (1, None), (2, None)], "g int, wait_week int")
+    merged = waits.merge(waits.histograms(rows, ["g"]), ["g"])
+    got = {r.g: r for r in waits.with_quantiles(merged).collect()}
+    assert (got[1].n_rows, got[1].hist[3], sum(got[1].hist), got[1].median) == (3, 2, 2, 3.0)
+    assert (got[2].n_rows, sum(got[2].hist), got[2].median) == (1, 0, 53.0)
+
+
+def test_a_file_has_its_header_once(spark, tmp_path):
+    lines = spark.range(50).selectExpr("concat('f', id % 2) AS file", "cast(id AS int) AS position", "cast(id AS string) AS line")
+    files.write_lines(lines.repartition(5), str(tmp_path / "h"), "head")
+    for n in range(2):
+        (found,) = _text_files(tmp_path / "h" / f"file=f{n}")
+        assert open(found).read().split() == ["head", *[str(i) for i in range(n, 50, 2)]]
+
+
+def test_profile_counts_before_sources_become_rows(spark):
+    plan = QUERIES["profile_sources"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    generated = next(line for line in plan.split("\n") if "Generate inline" in line)
+    assert plan.index(generated) < plan.index("Aggregate [period_date")
+
+
+def test_steady_equals_round(spark):
+    values = spark.createDataFrame([(x,) for x in (0.1 + 0.2, 2.5, 7.0, 1 / 3, 12.0000005, -1.25, 0.015625, 1e300, float("nan"), None)], "x double")
+    assert values.filter(~steady(F.col("x")).eqNullSafe(F.round("x", 6))).isEmpty()
+
+
+def test_checked_stars_join_the_tables_once(spark, monkeypatch):
+    joined = []
+    monkeypatch.setattr(Data, "rows", lambda self, *a, _own=Data.rows, **k: joined.append(1) or _own(self, *a, **k))
+    stored_queries.dq_missing_keys_at_load(Data(spark, SMALL))
+    assert len(joined) == 1
+
+
+def test_ingested_rows_are_not_shuffled(spark, tmp_path, monkeypatch):
+    gathered = []
+    own = tables.write_table
+    monkeypatch.setattr(tables, "write_table", lambda df, path, *a, **k: gathered.append(path.rsplit("/", 1)[1]) or own(df, path, *a, **k))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "part-1.csv").write_text("a\n1\n2\n")
+    schema = T.StructType.fromDDL("a int")
+    read = lambda paths: files.fitting(files.scan_csv(spark, paths, schema, pattern="*"))
+    ingest = increments.Ingest(spark, str(tmp_path / "in"), str(tmp_path / "store"), read, pattern="part-*")
+    assert ingest.run() == 1 and sorted(r.a for r in ingest.rows("a int").collect()) == [1, 2]
+    assert "rows" not in gathered

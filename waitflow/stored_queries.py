@@ -32,10 +32,22 @@ def query(fn: Callable[[Data], DataFrame]) -> Callable[[Data], DataFrame]:
 PROVISIONAL_FROM = "2023-04-01"
 
 
-def _flat(d: Data, kind: str, start: str | None = None) -> DataFrame:
-    """Facts of one kind with the provider's code; a start month reaches the scan of the orders."""
+def _flat(d: Data, kind: str, start: str | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Facts of one kind with the provider's code, from given rows or those of the tables; a start month reaches the scan."""
     build = {"incomplete": facts.incomplete, "completed": facts.completed, "new_periods": facts.new_periods}[kind]
-    return d.coded(build(d.rows(start=start))).drop("provider_id")
+    if rows is None:
+        rows = d.rows(start=start)
+    elif start is not None:
+        rows = rows.filter(F.col("period_date") >= F.lit(start).cast("date"))
+    return d.coded(build(rows)).drop("provider_id")
+
+
+def _stored_rows(d: Data) -> DataFrame:
+    """Pathway rows with their period and specialty, joined once and written, for several facts and loads."""
+    path = workspace.folder(d.spark, "rows")
+    rows = d.rows().drop("l_orderkey", "l_linenumber")
+    tables.write_table(rows, path)
+    return tables.read_stored(d.spark, path, rows)
 
 
 def _provisional(rows: DataFrame) -> DataFrame:
@@ -89,7 +101,8 @@ def load_touched_months(d: Data) -> DataFrame:
 def _refreshed(d: Data) -> str:
     """Loads all facts, builds the marts, reloads the late years and refreshes their months; prefix of the views."""
     stored = _stored(d)
-    rows = {k: _flat(d, k) for k in loads.KINDS}
+    source = _stored_rows(d)
+    rows = {k: _flat(d, k, rows=source) for k in loads.KINDS}
     built = loads.Marts(stored, rows)
     for kind in loads.KINDS:
         batch = loads.batch_name(kind, F.col("period_date"))
@@ -98,7 +111,7 @@ def _refreshed(d: Data) -> str:
         stored.load(kind, staged, _batches(staged))
     built.refresh_pending()
     for kind in loads.KINDS:
-        stored.stage(kind, _flat(d, kind, PROVISIONAL_FROM), loads.batch_name(kind, F.col("period_date")))
+        stored.stage(kind, _flat(d, kind, PROVISIONAL_FROM, source), loads.batch_name(kind, F.col("period_date")))
         staged = stored.staged(kind, rows[kind])
         stored.load(kind, staged, _batches(staged))
     built.refresh_pending()
@@ -169,20 +182,23 @@ def _partial_dimensions(d: Data) -> dict[str, DataFrame]:
     }
 
 
-def _unmatched_stars(d: Data) -> dict[str, DataFrame]:
+def _unmatched_stars(d: Data, rows: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four star tables, from given pathway rows or those of the tables."""
     found = _partial_dimensions(d)
+    rows = d.rows() if rows is None else rows
+    incomplete = d.coded(facts.incomplete(rows))
     return {
-        "fact_rtt_incomplete_star": stars.star_incomplete(d.incomplete(), found),
-        "fact_rtt_completed_star": stars.star_completed(d.completed(), found),
-        "fact_rtt_new_periods_star": stars.star_new_periods(d.new_periods(), found),
-        "fact_rtt_wait_band_star": stars.star_wait_band(d.incomplete(), found),
+        "fact_rtt_incomplete_star": stars.star_incomplete(incomplete, found),
+        "fact_rtt_completed_star": stars.star_completed(d.coded(facts.completed(rows)), found),
+        "fact_rtt_new_periods_star": stars.star_new_periods(d.coded(facts.new_periods(rows)), found),
+        "fact_rtt_wait_band_star": stars.star_wait_band(incomplete, found),
     }
 
 
 @query
 def dq_missing_keys_at_load(d: Data) -> DataFrame:
     """NULL keys of the four star tables, counted while they are written; some keys have no dimension row."""
-    return quality.write_checked(_unmatched_stars(d), workspace.folder(d.spark, "stars"))
+    return quality.write_checked(_unmatched_stars(d, _stored_rows(d)), workspace.folder(d.spark, "stars"))
 
 
 @query
