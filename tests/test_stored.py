@@ -440,3 +440,15 @@ def test_ingested_rows_are_not_shuffled(spark, tmp_path, monkeypatch):
     ingest = increments.Ingest(spark, str(tmp_path / "in"), str(tmp_path / "store"), read, pattern="part-*")
     assert ingest.run() == 1 and sorted(r.a for r in ingest.rows("a int").collect()) == [1, 2]
     assert "rows" not in gathered
+
+
+def test_staged_batch_is_dealt_by_month(spark, tmp_path, monkeypatch):
+    """The months of a batch are sorted and written by several tasks, not by one for each batch."""
+    hints = []
+    own = type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda self, name, *c: hints.append((name, len(c))) or own(self, name, *c))
+    rows = spark.range(24).selectExpr("add_months(DATE'2021-04-01', cast(id AS int)) AS period_date", "id AS n")
+    stored = loads.Facts(spark, str(tmp_path))
+    stored.stage("incomplete", rows, loads.batch_name("incomplete", F.col("period_date")))
+    assert hints == [("rebalance", 2)]
+    assert stored.staged("incomplete", rows, ["incomplete_2022-23"]).count() == 12

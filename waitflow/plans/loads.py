@@ -47,7 +47,7 @@ class Facts:
     def stage(self, kind: str, rows: DataFrame, batch_id: str | Column) -> None:
         """Truncates the staging table and fills it with rows that are tagged with batch, source and load time."""
         dated = rows.withColumn(MONTH, calendar.date_key(F.col("period_date")))
-        tables.stage(dated, self.staging(kind), batch_id, partition_by=[BATCH])
+        tables.stage(dated, self.staging(kind), batch_id, partition_by=[BATCH], within=[MONTH])
 
     def staged(self, kind: str, schema: DataFrame, batches: list[str] | None = None) -> DataFrame:
         rows = self.spark.read.schema(stored_schema(schema)).parquet(self.staging(kind))

@@ -62,12 +62,15 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(f"{directory}/{name}.parquet")
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
+def write_table(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite", within: list[str] | None = None
+) -> None:
     """Replace (or append to) a Parquet table. Partition columns should have few values, such as the
     financial year; rows are gathered by them first so that no task writes a file per partition value,
-    and AQE splits a partition value that is much larger than the rest."""
+    and AQE splits a partition value that is much larger than the rest. Columns given as `within` deal a
+    partition value over more tasks, each of which sorts its rows to write them."""
     if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        df = df.hint("rebalance", *[F.col(c) for c in [*partition_by, *(within or [])]])
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -109,9 +112,10 @@ def stage(
     batch_id: str | Column,
     data_source: str = DATA_SOURCE,
     partition_by: list[str] | None = None,
+    within: list[str] | None = None,
 ) -> None:
     """Truncate-and-reload of a staging table, every row tagged with its batch, source and load time."""
-    write_table(with_lineage(df, batch_id, data_source), path, partition_by)
+    write_table(with_lineage(df, batch_id, data_source), path, partition_by, within=within)
 
 
 def read_stored(spark: SparkSession, path: str, like: DataFrame | T.StructType) -> DataFrame:
