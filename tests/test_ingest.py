@@ -151,3 +151,15 @@ def test_week_maps_equal_weekly_columns(spark):
     for g, row in maps.items():
         assert [row.weeks.get(i) for i in range(53)] == [wide[g][h] for h in raw_sheets.WEEK_HEADINGS]
         assert row[raw_sheets.INCOMPLETE_TOTAL] == wide[g][raw_sheets.INCOMPLETE_TOTAL]
+
+
+def test_bands_add_cells_as_before_and_read_each_in_one_expression(spark):
+    columns = [*S.WEEK_COLUMNS, S.OPEN_WEEK_COLUMN]
+    values = {c: "" for c in columns} | {columns[0]: "1.5", columns[1]: " 2 ", columns[2]: "*", columns[3]: None, columns[52]: "7"}
+    df = spark.createDataFrame([tuple(values.values())], ", ".join(f"`{c}` string" for c in columns))
+    row = df.select(*clean.band_columns(df.columns)).first()
+    assert (row["band_0_5_wks"], row["band_52_plus"], sum(row)) == (3, 7, 10)
+    # One number is read by each band, not by each cell.
+    plan = df.select(*clean.band_columns(df.columns))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("RLIKE") == len(S.BANDS)
+    assert clean.band_columns([]) and spark.range(1).select(*clean.band_columns([])).first()["band_52_plus"] == 0
