@@ -228,6 +228,39 @@ def test_mixing_cost_grows_with_an_unseen_word(spark):
     assert got[held[2]] / got[held[1]] == pytest.approx(10, rel=0.1)
 
 
+def test_mixing_scores_text_as_a_sequence(spark):
+    """Words with a training count pass through the mixed bits: their order counts, the deal of rows does not."""
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rows = [(1000 + i, "the small garden opened alpha river second") for i in range(40)]
+    rows += [(held[0], "the small garden opened alpha river second"), (held[1], "second opened the river garden alpha small")]
+    table = docs(spark, rows)
+    got = {r.doc_id: r for r in mixlm.score(table.repartition(1)).collect()}
+    assert all(got[i].n_known == 8 for i in held)
+    assert got[held[0]].score > got[held[1]].score + 1
+    again = {r.doc_id: r.score for r in mixlm.score(table.repartition(7)).collect()}
+    assert again == {i: r.score for i, r in got.items()}
+
+
+def test_mixing_edges_and_rests_are_the_whole_word():
+    import numpy as np
+
+    found = [b"the", b"then", b"thematic", b"", b"a", "größe".encode(), b"x" * 300]
+    heads, tails = mixlm.letters(found)
+    assert heads.tolist()[0] == int.from_bytes(b"th") and tails.tolist()[2] == int.from_bytes(b"tic")
+    tables = np.zeros((mixlm.ORDERS, 2, mixlm.SLOTS), np.int64)
+    mixlm.count_bits(tables, found, np.arange(1, 8))
+    model = mixlm.fresh(tables)
+    mixlm.learn_online(model, found, np.arange(1, 8))
+    first = mixlm.edges_of(heads, tails, np.arange(len(found)), np.arange(len(found)))
+    both = mixlm.edges_log10(model, first) + mixlm.rests_log10(model, found)
+    assert both == pytest.approx(mixlm.bits_log10(model, found), rel=1e-12)
+    # The probabilities of all first bytes after one word add up to one.
+    flat = mixlm.flatten_edges(np.array([int.from_bytes(b"eta\0\0" + bytes([b]) + b" ") for b in range(256)], np.uint64))
+    at = flat.zone == 0
+    ones = mixlm.Flat(flat.data[at], flat.word[at], flat.zone[at], flat.contexts[:, at])
+    assert (10 ** mixlm._log10(model, ones, 256, None)).sum() == pytest.approx(1, abs=1e-9)
+
+
 def test_language_accuracy(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(table).join(table.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
