@@ -314,7 +314,7 @@ class _Chunk:
         ids = np.fromiter(map(self.places.__getitem__, words), np.int32, len(words))
         if not held:
             self.learned.append(ids)
-        self.rows.append((doc_id, held, len(words), sum(map(len, words)) + len(words), ids.tobytes()))
+        self.rows.append((doc_id, held, len(words), sum(map(len, words)) + len(words), zlib.compress(ids.tobytes(), 1)))
         self.size += len(text)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
@@ -387,7 +387,8 @@ def _inputs_of(model: Model, blocks: tuple[tuple[int, bytes], ...]) -> tuple[np.
 def train(words: DataFrame, edges: DataFrame) -> tuple[Model, Broadcast]:
     """Weights and adaptive map, and the packed tables, from all words (word, c) and edges (edge, c) with a count above 0.
 
-    They are dealt and sorted by hash, so the model does not hang on how the documents were dealt.
+    Sums do not hang on how rows are dealt; for what is learned online they are dealt and sorted by hash, so the model
+    does not hang on how the documents were dealt.
     """
     typed = words.filter("c > 0").selectExpr("word", "CAST(NULL AS BIGINT) AS edge", "c").unionByName(
         edges.selectExpr("CAST(NULL AS BINARY) AS word", "edge", "c")
@@ -415,7 +416,7 @@ def train(words: DataFrame, edges: DataFrame) -> tuple[Model, Broadcast]:
             total += np.frombuffer(zlib.decompress(raw), np.int64)
         return pd.DataFrame({"block": rows["block"].iloc[:1], "counts": [packed(total)]})
 
-    summed = dealt.mapInArrow(partial, "block int, counts binary").groupBy("block").applyInPandas(add, "block int, counts binary")
+    summed = typed.repartition(tasks).mapInArrow(partial, "block int, counts binary").groupBy("block").applyInPandas(add, "block int, counts binary")
     pieces = summed.toArrow()  # at most ORDERS * SLOTS * 4 bytes in all, whatever the corpus
     blocks = tuple(sorted(zip(pieces["block"].to_pylist(), pieces["counts"].to_pylist())))
     shared = words.sparkSession.sparkContext.broadcast(blocks)
@@ -478,7 +479,7 @@ def score(docs: DataFrame) -> DataFrame:
         c, rest = dictionary["c"].to_numpy()[order], dictionary["rest"].to_numpy()[order].astype(np.float64)
         ends = dictionary["ends"].to_numpy()[order].view(_U)
         base = np.log10(c + 1.0) - base_log
-        rows = [np.frombuffer(raw, np.int32) for raw in docs_of["ids"].to_pylist()]
+        rows = [np.frombuffer(zlib.decompress(raw), np.int32) for raw in docs_of["ids"].to_pylist()]
         ids = np.concatenate(rows)
         stops = np.cumsum(docs_of["n_tokens"].to_numpy())
         starts = stops - docs_of["n_tokens"].to_numpy()
