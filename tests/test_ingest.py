@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from waitflow import schemas as S
 from waitflow.operators import clean
+from waitflow.queries import QUERIES
 from waitflow.sources import files, links, raw_sheets, sheets, tables
 
 BASE = dict(zip(["Region Code", "Provider Code", "Provider Name", "Treatment Function Code", "Treatment Function"], ["Y56", "RJ1", "Alpha", "100", "Surgery"]))
@@ -163,3 +164,27 @@ def test_bands_add_cells_as_before_and_read_each_in_one_expression(spark):
     plan = df.select(*clean.band_columns(df.columns))._jdf.queryExecution().analyzed().toString()
     assert plan.count("RLIKE") == len(S.BANDS)
     assert clean.band_columns([]) and spark.range(1).select(*clean.band_columns([])).first()["band_52_plus"] == 0
+
+
+def test_week_cells_are_the_53_cells_in_order(spark):
+    maps = [{0: 5, 52: None}, {}, {9: 2, 3: 1, 60: 7, -1: 8}, {52: 4}, None]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(maps)], "i int, weeks map<int, long>")
+    got = dict(tuple(r) for r in df.select("i", raw_sheets._week_cells("weeks")).collect())
+    for i, m in enumerate(maps):
+        values = [(m or {}).get(w) for w in range(53)]
+        assert got[i] == ",".join("" if v is None else str(v) for v in values)
+
+
+def test_sheets_are_gathered_by_one_shuffle_after_the_weeks_are_summed(spark):
+    plan = QUERIES["ingest_preamble"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(period_date") == 2
+
+
+def test_broken_bodies_and_quoted_line_feeds_keep_their_row_numbers(spark):
+    lines = ["Y56,RJ1,Alpha,100,Surgery,1,1,2", ",,,", 'Y56,RJ2,"Be\nta",100,Surgery,1,*,2']
+    texts = [preamble("April 2019", HEADER, *lines), preamble("April 2019", HEADER.replace('"', ""), lines[0]).replace("\n", "\r\n"), "one line", None]
+    df = spark.createDataFrame([(f"{i}.csv", t) for i, t in enumerate(texts)], "file_name string, content string")
+    rows = sheets.sheet_rows(df, list(BASE) + [">0-1"]).collect()
+    got = sorted((r["source_file"], r["row_idx"], r["Provider Name"], r[">0-1"], r["period_date"]) for r in rows)
+    at, month = S.HEADER_ROW, "2019-04-01"
+    assert got == [("0.csv", at + 1, "Alpha", "1", month), ("0.csv", at + 3, "Be\nta", "1", month), ("1.csv", at + 1, "Alpha", "1", month)]

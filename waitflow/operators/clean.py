@@ -42,11 +42,12 @@ def band_columns(columns: list[str]) -> list[Column]:
     weekly = [*S.WEEK_COLUMNS, S.OPEN_WEEK_COLUMN]
     bands = []
     for name, _, first, last, *_ in S.BANDS:
-        # Cells of one band are added as doubles and cut to a whole number once. Blank ones, nearly all, are left out
-        # first, and one expression reads each: 53 of them in a row make code too long to be compiled.
+        # Cells of one band are added as doubles and cut to a whole number once. A band of blank cells, as nearly all
+        # are, is known by its joined text, which is compiled; lambdas are not, and 53 casts in a row are too long to be.
         cells = ", ".join(f"CAST(`{c}` AS STRING)" for c in weekly[first : last + 1] if c in columns)
         total = f"aggregate(filter(array({cells}), c -> c <> ''), 0D, (sum, c) -> sum + coalesce({double_sql('c')}, 0D))"
-        bands.append(F.expr(f"try_cast({total if cells else '0'} AS BIGINT) AS {name}"))
+        total = f"CASE WHEN concat_ws('', {cells}) = '' THEN 0D ELSE {total} END" if cells else "0"
+        bands.append(F.expr(f"try_cast({total} AS BIGINT) AS {name}"))
     return bands
 
 

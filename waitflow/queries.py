@@ -124,7 +124,7 @@ def ingest_incomplete(d: Data) -> DataFrame:
 
 
 def _sheet_texts(d: Data) -> DataFrame:
-    return raw_sheets.sheet_texts(d.label(raw_sheets.week_maps(d.rows())))
+    return raw_sheets.sheet_texts(d.label(raw_sheets.week_maps(d.rows(), dealt_by=["period_date", "provider_id"])))
 
 
 @query

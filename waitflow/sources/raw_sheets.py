@@ -28,13 +28,17 @@ def weekly_sums(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
     return rows.filter("is_open").groupBy(*grain).agg(*cells, F.sum("patients").alias(INCOMPLETE_TOTAL))
 
 
-def week_maps(rows: DataFrame, grain: list[str] = GRAIN) -> DataFrame:
+def week_maps(rows: DataFrame, grain: list[str] = GRAIN, dealt_by: list[str] | None = None) -> DataFrame:
     """Waiting patients by week as a map of the weeks that have any row, with the total.
 
     Most cells have one or two weeks, so a map is much less to aggregate and to shuffle than 53 columns. Rows are
     summed by week before they are gathered, so a map has 53 entries at most.
+
+    dealt_by: columns of the grain by which the sums by week are dealt out, so that this and any later grouping by
+    a grain that has these columns needs no further shuffle.
     """
     weeks = rows.filter("is_open").groupBy(*grain, "wait_week").agg(F.sum("patients").alias("n"))
+    weeks = weeks.repartition(*dealt_by) if dealt_by else weeks
     entry = F.when(F.col("wait_week").isNotNull(), F.struct("wait_week", "n"))
     return weeks.groupBy(*grain).agg(
         F.map_from_entries(F.collect_list(entry)).alias("weeks"), F.sum("n").alias(INCOMPLETE_TOTAL)
@@ -101,16 +105,32 @@ def _text(period: Column | str, headings: Column, lines: Column) -> Column:
     return F.array_join(F.concat(F.array(*preamble), headings, lines), "\n")
 
 
+def _week_cells(weeks: str) -> Column:
+    """The weekly cells of a map as one text: its entries by week, each behind the commas since the one before.
+
+    Weeks without an entry, which are nearly all, cost nothing but their comma.
+    """
+    last = len(WEEK_HEADINGS) - 1
+    entries = F.filter(F.sort_array(F.map_entries(weeks)), lambda e: e["key"].between(0, last))
+
+    def add(done: Column, e: Column) -> Column:
+        number = F.coalesce(e["value"].cast("string"), F.lit(""))
+        text = F.concat(done["text"], F.repeat(F.lit(","), e["key"] - done["week"]), number)
+        return F.struct(text.alias("text"), e["key"].alias("week"))
+
+    none = F.struct(F.lit("").alias("text"), F.lit(0).alias("week"))
+    end = lambda done: F.concat(done["text"], F.repeat(F.lit(","), F.lit(last) - done["week"]))
+    return F.coalesce(F.aggregate(entries, none, add, end), F.lit("," * last))
+
+
 def sheet_texts(weekly: DataFrame) -> DataFrame:
     """One text per provider and month, with preamble, and broken copies of some. A text holds a line per specialty.
 
     `weekly` has the weeks as a map and carries provider and specialty labels.
     """
-    weeks = F.array(*[F.lit(i) for i in range(len(WEEK_HEADINGS))])
-    cells = F.transform(weeks, lambda i: F.coalesce(F.try_element_at("weeks", i).cast("string"), F.lit("")))
-    line = F.concat_ws(",", *_base(weekly), cells, F.col(f"`{INCOMPLETE_TOTAL}`").cast("string"))
+    line = F.concat_ws(",", *_base(weekly), _week_cells("weeks"), F.col(f"`{INCOMPLETE_TOTAL}`").cast("string"))
     grouped = weekly.groupBy("period_date", "provider_org_code", "provider_id").agg(
-        F.array_sort(F.collect_list(line)).alias("lines")
+        F.sort_array(F.collect_list(line)).alias("lines")
     )
     month = F.col("period_date")
     name = F.concat(F.lit("Incomplete-Provider-"), "provider_org_code", F.lit("-"), F.date_format(month, "MMMyy"))

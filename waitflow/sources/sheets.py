@@ -33,12 +33,17 @@ def _with_lines(sheets: DataFrame) -> DataFrame:
     The records are given by a generator, through which no filter is pushed down: as a plain column the split would be
     repeated for each place where a filter over it (of a status, of a period) reads a line.
     """
-    text = F.regexp_replace("content", "\r", "")
-    lines = F.split(text, "\n")
+    content = F.col("content")
+    text = F.when(content.contains("\r"), F.regexp_replace(content, "\r", "")).otherwise(content)
     quotes = lambda line: F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    is_open = F.exists(lines, lambda line: quotes(line) % 2 == 1)
-    records = F.when(is_open, F.regexp_extract_all(text, F.lit(_RECORD), F.lit(1))).otherwise(lines)
-    return sheets.select("*", F.explode(F.array(records)).alias("lines"))
+    is_open = lambda line: line.contains('"') & (quotes(line) % 2 == 1)
+    quoted = F.regexp_extract_all(text, F.lit(_RECORD), F.lit(1))
+    # The split text has a name inside of the lambda: it is looked through and taken, but made only once.
+    records = F.transform(
+        F.array(F.split(text, "\n")),
+        lambda lines: F.when(text.contains('"') & F.exists(lines, is_open), quoted).otherwise(lines),
+    )
+    return sheets.select("*", F.explode(F.array(F.get(records, F.lit(0)))).alias("lines"))
 
 
 def _line(number: int) -> Column:
@@ -57,24 +62,23 @@ def sheet_rows(sheets: DataFrame, headings: list[str]) -> DataFrame:
     are looked up once per file, before its lines are exploded; each data line is split once.
     """
     wanted = F.array(*[F.lit(h) for h in headings])
-    # The usual header is known by its text and needs no reading of its quoted fields.
+    # The usual header is known by its text: neither its quoted fields are read nor the headings looked up.
     usual = ",".join('"' + h.replace('"', '""') + '"' for h in headings)
+    trimmed = [h.strip(" ") for h in headings]
+    in_order = F.array(*[F.lit(trimmed.index(h) if h in trimmed else -1) for h in headings])
     read = F.transform(cells_of(_line(S.HEADER_ROW)), lambda c: F.trim(c))
-    header = F.when(_line(S.HEADER_ROW) == usual, F.transform(wanted, lambda c: F.trim(c))).otherwise(read)
-    headed = _with_lines(sheets).select(
-        F.coalesce(F.date_format(_period(), "yyyy-MM-dd"), F.lit("Unknown")).alias("period_date"),
+    looked_up = F.transform(wanted, lambda h: F.array_position(read, h).cast("int") - 1)
+    # A generator here as well, or each use of the period would read its line again.
+    dated = _with_lines(sheets).select("file_name", "lines", F.explode(F.array(_period())).alias("period"))
+    first = S.HEADER_ROW + 1
+    body = F.slice("lines", F.lit(first + 1), F.greatest(F.size("lines") - first, F.lit(0)))
+    placed = dated.select(
+        F.coalesce(F.date_format("period", "yyyy-MM-dd"), F.lit("Unknown")).alias("period_date"),
         F.col("file_name").alias("source_file"),
-        header.alias("header"),
-        "lines",
-    )
-    # A header in the usual order needs no lookup.
-    places = F.when(
-        F.slice("header", F.lit(1), F.lit(len(headings))) == wanted, F.sequence(F.lit(0), F.lit(len(headings) - 1))
-    ).otherwise(F.transform(wanted, lambda h: F.array_position(F.col("header"), h).cast("int") - 1))
-    placed = headed.withColumn("places", places).select(
-        "period_date", "source_file", "places", F.posexplode("lines").alias("row_idx", "line")
-    )
-    data = placed.filter((F.col("row_idx") > S.HEADER_ROW) & F.col("line").rlike("[^, ]"))
+        F.when(_line(S.HEADER_ROW) == usual, in_order).otherwise(looked_up).alias("places"),
+        body.alias("body"),
+    ).select("period_date", "source_file", "places", F.posexplode("body").alias("idx", "line"))
+    data = placed.filter(F.col("line").rlike("[^, ]")).withColumn("row_idx", F.col("idx") + first)
     # A generator again, so that a filter over the columns splits no line a second time.
     split_up = data.select("places", F.explode(F.array(cells_of(F.col("line")))).alias("cells"), "period_date", "source_file", "row_idx")
     named = [F.expr(f"get(cells, places[{i}]) AS `{h}`") for i, h in enumerate(headings)]
