@@ -112,6 +112,23 @@ def test_words_are_encoded_as_in_the_text():
         assert np.frombuffer(tokenfile.encode_text(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
+def test_a_lot_of_pieces_is_read_as_one_text_and_each_encoded_by_itself():
+    tok = encoder()
+    known = tokenfile._Pieces(tokenfile.TOKENIZER)
+    plain = ["alpha", "<|endoftext", "|>", "e\u0301", "\u0301x", "don't", "'s", "12", "x" * 100, "<", "\U0001f600"]
+    for lot in (plain, [*plain, "<|startoftext|>"], [*plain, "a<|endoftext|>b"], ["<|endoftext|>"], ["one"], []):
+        ids, sizes = known._fresh([w.encode() for w in lot])
+        each = [tok.encode(w, add_special_tokens=False).ids for w in lot]
+        assert sizes.tolist() == [len(x) for x in each] and ids.tolist() == [i for x in each for i in x]
+    pieces = [w.encode() for w in plain]
+    for memory in (tokenfile.MEMO_BYTES, 600, 0):  # remembered, let go now and then, or at once
+        for again in (pieces[:5], pieces, pieces[::-1]):
+            ids, starts = known.encode(again, memory)
+            want = [tok.encode(w.decode(), add_special_tokens=False).ids for w in again]
+            assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == want
+            assert all(len(w) <= tokenfile.MEMO_WORD for w in known.places) and len(known.ids) == known.starts[-1]
+
+
 def check_shards(rows, got, n=8):
     want = sorted((i is not None, i or 0, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
     assert sorted((r.doc_id is not None, r.doc_id or 0, r.size, r.text_crc32) for r in got) == want

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -62,6 +63,9 @@ class _Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        plain = lambda t: t.special and not (t.normalized or t.single_word or t.lstrip or t.rstrip)
+        known = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if plain(t)]
+        self.between_id, self.between = max(known, default=(-1, ""))
         self.clear()
 
     def clear(self) -> None:
@@ -89,32 +93,58 @@ class _Pieces:
 
     def encode(self, pieces: list[bytes], memo_bytes: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after the other, and where those of each piece begin (and the last one's end)."""
-        at = np.fromiter((self.places.get(w, -1) for w in pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.places.get, pieces, repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(at < 0)
-        fresh, found = [pieces[i] for i in new], []
-        for low in range(0, len(fresh), LOT):
-            texts = [w.decode(errors="replace") for w in fresh[low : low + LOT]]
-            found += [np.asarray(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        fresh = [pieces[i] for i in new.tolist()]
+        found, sizes = self._fresh(fresh)
         at[new] = len(self.starts) - 1 + np.arange(len(new))
-        starts, flat = self._with(found)
+        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        flat = np.concatenate([self.ids, found])
         lengths = starts[at + 1] - starts[at]
         ids = _gathered(flat, starts[at], lengths)
-        kept = [(w, x) for w, x in zip(fresh, found) if len(w) <= MEMO_WORD]
-        size = sum(PIECE_BYTES + len(w) + x.nbytes for w, x in kept)
+        own = np.fromiter(map(len, fresh), np.int64, len(fresh))
+        short = own <= MEMO_WORD
+        size = int((PIECE_BYTES + own + 4 * sizes)[short].sum())
         if self.bytes + size > memo_bytes:  # what stands in this slice has the common pieces; the others are let go
-            short = [i for i, w in enumerate(pieces) if len(w) <= MEMO_WORD]
-            kept = [(pieces[i], flat[starts[at[i]] : starts[at[i] + 1]]) for i in short]
+            own = np.fromiter(map(len, pieces), np.int64, len(pieces))
+            fresh, sizes, found, short = pieces, lengths, ids, own <= MEMO_WORD
             self.clear()
-            size = sum(PIECE_BYTES + len(w) + x.nbytes for w, x in kept)
-        self.places.update((w, len(self.starts) - 1 + i) for i, (w, _) in enumerate(kept))
-        self.starts, self.ids = self._with([x for _, x in kept])
+            starts, flat = np.concatenate([[0], np.cumsum(sizes)]), found
+            size = int((PIECE_BYTES + own + 4 * sizes)[short].sum())
+        first = len(self.starts) - 1
+        if short.all():
+            self.starts, self.ids = starts, flat
+        else:  # longer pieces leave their ids out as well
+            fresh, found = [w for w, s in zip(fresh, short.tolist()) if s], found[np.repeat(short, sizes)]
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes[short])])
+            self.ids = np.concatenate([self.ids, found])
+        self.places.update(zip(fresh, range(first, first + len(fresh))))
         self.bytes += size
         return ids, np.concatenate([[0], np.cumsum(lengths)])
 
-    def _with(self, found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ids of what is remembered, with further pieces behind."""
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)]), np.concatenate([self.ids, *found])
+    def _fresh(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that the library encodes, one after the other, and how many each has.
+
+        It reads a lot of pieces as one text, with a special string between them: it takes these out before all else,
+        so each piece is encoded by itself. Where a piece holds that string, each is a text of its own.
+        """
+        found, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for low in range(0, len(pieces), LOT):
+            lot = pieces[low : low + LOT]
+            texts = [w.decode(errors="replace") for w in lot]
+            text = self.between.join(texts)
+            ids = ends = np.empty(0, np.int32)
+            if self.between and text.count(self.between) == len(lot) - 1:
+                ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+                ends = np.append(np.flatnonzero(ids == self.between_id), len(ids))
+            if len(ends) == len(lot):
+                found.append(ids[ids != self.between_id])
+                sizes.append(np.diff(ends, prepend=-1) - 1)
+            else:
+                each = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                found += [np.asarray(x, np.int32) for x in each]
+                sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        return np.concatenate(found), np.concatenate(sizes)
 
 
 def _gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
